@@ -12,7 +12,7 @@ from tidemark.operators import bounce, cdc, dims, logs, orders, stats, visitors
 from tidemark.plans import jobs
 from tidemark.schemas import Topic
 from tidemark.sources import sample_tables as sample
-from tidemark.sources.sample_tables import table
+from tidemark.sources.sample_tables import spread, table
 from tidemark.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,16 +37,17 @@ def as_of() -> Column:
     return F.lit("2024-01-01").cast("timestamp")
 
 
-def member(name: str, kind: str = "string") -> Column:
-    """A member of the JSON text ``value``."""
-    return F.get_json_object("value", f"$.{name}").cast(kind).alias(name.split(".")[-1])
+def outputs(raw: DataFrame, topic: str, schema: str) -> DataFrame:
+    """The records the log job sends to a topic, read back from their JSON text."""
+    sent = jobs.log_outputs(raw).filter(F.col("topic") == topic)
+    return sent.select("id", F.from_json("value", schema).alias("out"))
 
 
 # Logs
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.log_records(table(spark, sf_dir, "events"))
+    return sample.log_records(spread(table(spark, sf_dir, "events")))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,38 +59,31 @@ def log_repair_new_visitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_split_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = jobs.log_outputs(raw_logs(spark, sf_dir)).filter(F.col("topic") == Topic.START)
-    return outputs.select(
-        "id",
-        member("common.mid"),
-        member("common.is_new"),
-        member("start.entry"),
-        member("start.loading_time", "bigint"),
-        member("ts", "bigint"),
+    schema = (
+        "common struct<mid:string,is_new:string>, "
+        "start struct<entry:string,loading_time:bigint>, ts bigint"
     )
+    sent = outputs(raw_logs(spark, sf_dir), Topic.START, schema)
+    return sent.select("id", "out.common.*", "out.start.*", "out.ts")
 
 
 def log_split_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = jobs.log_outputs(raw_logs(spark, sf_dir)).filter(F.col("topic") == Topic.PAGE)
-    return outputs.select(
-        "id",
-        *[member(f"common.{c}") for c in ("mid", "ar", "ch", "vc", "is_new")],
-        member("page.page_id"),
-        member("page.last_page_id"),
-        member("page.during_time", "bigint"),
-        member("ts", "bigint"),
+    schema = (
+        "common struct<mid:string,ar:string,ch:string,vc:string,is_new:string>, "
+        "page struct<page_id:string,last_page_id:string,during_time:bigint>, ts bigint"
     )
+    sent = outputs(raw_logs(spark, sf_dir), Topic.PAGE, schema)
+    return sent.select("id", "out.common.*", "out.page.*", "out.ts")
 
 
 def log_split_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = jobs.log_outputs(raw_logs(spark, sf_dir)).filter(F.col("topic") == Topic.DISPLAY)
-    return outputs.select(
-        "id", member("item"), member("order").alias("display_order"), member("page_id")
-    )
+    schema = "item string, order string, page_id string"
+    sent = outputs(raw_logs(spark, sf_dir), Topic.DISPLAY, schema)
+    return sent.select("id", "out.item", F.col("out.order").alias("display_order"), "out.page_id")
 
 
 def log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = sample.damaged_log_records(table(spark, sf_dir, "events"))
+    raw = sample.damaged_log_records(spread(table(spark, sf_dir, "events")))
     return logs.quarantined(logs.parse_log(raw)).select("id")
 
 
@@ -136,11 +130,11 @@ def visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.order_records(table(spark, sf_dir, "orders"))
+    return sample.order_records(spread(table(spark, sf_dir, "orders")))
 
 
 def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.detail_records(table(spark, sf_dir, "lineitem"))
+    return sample.detail_records(spread(table(spark, sf_dir, "lineitem")))
 
 
 def wide(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
@@ -273,7 +267,7 @@ def order_wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.order_changes(table(spark, sf_dir, "orders")).unionByName(
+    return sample.order_changes(spread(table(spark, sf_dir, "orders"))).unionByName(
         sample.user_changes(table(spark, sf_dir, "customer"))
     )
 
@@ -285,13 +279,13 @@ def cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = jobs.routed_changes(changes(spark, sf_dir), sample.routing_rules(spark))
-    return routed.select(
-        "sink_type",
-        "sink_table",
-        "sink_pk",
-        F.col("key").alias("record_key"),
-        member("total_amount", "decimal(18,2)"),
-        *[member(c) for c in ("id", "user_id", "order_status", "name", "gender")],
+    schema = (
+        "id string, user_id string, total_amount decimal(18,2), order_status string, "
+        "name string, gender string"
+    )
+    sent = routed.withColumn("out", F.from_json("value", schema))
+    return sent.select(
+        "sink_type", "sink_table", "sink_pk", F.col("key").alias("record_key"), "out.*"
     )
 
 

@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.records import json_null_free, parse_once
+from tidemark.operators.records import json_null_free, parse_json
 from tidemark.operators.skew import ROWS_PER_TASK, join_table
 
 OBJECT = "map<string,variant>"
 
+# The members of a change record; ``data`` is read as text.
+CHANGE = "table string, type string, data string"
+
 
 def parse_cdc(raw: DataFrame) -> DataFrame:
     """Change records from ``(id, value)``: ``table``, ``type``, and ``data`` by member.
 
     ``data`` may be an object, or a text holding one.
     """
-    data = F.try_variant_get("doc", "$.data", OBJECT)
-    text = F.try_variant_get("doc", "$.data", "string")
-    nested = F.try_variant_get(F.try_parse_json(text), "$", OBJECT)
-    fields = {
-        "table": F.try_variant_get("doc", "$.table", "string"),
-        "type": F.try_variant_get("doc", "$.type", "string"),
-        "data": F.coalesce(data, nested),
-    }
-    return parse_once(raw.select("id", "value"), F.try_parse_json("value"), fields)
+    parsed = parse_json(raw.select("id", "value"), CHANGE)
+    return parsed.withColumn("data", F.from_json("data", OBJECT))
 
 
 def clean_cdc(changes: DataFrame) -> DataFrame:

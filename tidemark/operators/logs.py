@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import event_time
 from tidemark.operators.records import (
+    as_long,
+    is_filled_object,
     json_null_free,
-    parse_once,
+    parse_json,
     text_variant,
-    variant_fields,
     with_entry,
 )
-from tidemark.schemas import LOG_FIELDS, QUARANTINE_TOPIC, Topic
+from tidemark.schemas import LOG, LOG_FLAGS, QUARANTINE_TOPIC, Topic
 
 OBJECT = "map<string,variant>"
 
@@ -21,16 +22,29 @@ OBJECT = "map<string,variant>"
 def parse_log(raw: DataFrame) -> DataFrame:
     """Typed log rows from records ``(id, value)``; ``value`` is kept.
 
-    Adds the columns of ``LOG_FIELDS``, ``is_start`` (a non-empty ``start`` object),
-    ``has_page``, and ``day``. Unusable rows stay in, see :func:`is_usable`.
+    ``is_start`` tells logs with a non-empty ``start`` object, ``has_page`` those with a page
+    object; ``displays`` stays text. Unusable rows stay in, see :func:`is_usable`.
     """
-    start = F.try_variant_get("doc", "$.start", OBJECT)
-    page = F.try_variant_get("doc", "$.page", OBJECT)
-    fields = variant_fields(LOG_FIELDS)
-    fields["is_start"] = F.coalesce(F.size(start) > 0, F.lit(False))
-    fields["has_page"] = page.isNotNull()
-    logs = parse_once(raw.select("id", "value"), F.try_parse_json("value"), fields)
-    return logs.withColumn("day", F.to_date(event_time(F.col("ts"))))
+    ts = as_long(F.col("ts"))
+    return parse_json(raw.select("id", "value"), LOG).select(
+        "id",
+        "value",
+        "common.*",
+        "page.page_id",
+        "page.last_page_id",
+        as_long(F.col("page.during_time")).alias("during_time"),
+        ts.alias("ts"),
+        is_filled_object(F.col("start")).alias("is_start"),
+        F.col("page").isNotNull().alias("has_page"),
+        "displays",
+        F.to_date(event_time(ts)).alias("day"),
+    )
+
+
+def parse_flags(raw: DataFrame) -> DataFrame:
+    """Only ``(mid, is_new, day)`` of log records: a cheaper parse for a first look."""
+    day = F.to_date(event_time(as_long(F.col("ts"))))
+    return parse_json(raw.select("value"), LOG_FLAGS).select("common.*", day.alias("day"))
 
 
 def is_usable() -> Column:
@@ -59,14 +73,12 @@ def start_logs(logs: DataFrame) -> DataFrame:
     return logs.filter(is_usable() & F.col("is_start"))
 
 
-def display_values(value: Column, page_id: Column) -> Column:
+def display_values() -> Column:
     """The displays of a page log as JSON texts, each with the page id set on it."""
-    displays = F.try_variant_get(
-        F.try_parse_json(value), "$.displays", f"array<{OBJECT}>"
-    )
+    displays = F.from_json("displays", f"array<{OBJECT}>")
 
     def render(display: Column) -> Column:
-        tagged = with_entry(display, "page_id", text_variant(page_id))
+        tagged = with_entry(display, "page_id", text_variant(F.col("page_id")))
         return F.to_json(json_null_free(tagged))
 
     present = F.filter(displays, lambda d: d.isNotNull())
@@ -75,9 +87,7 @@ def display_values(value: Column, page_id: Column) -> Column:
 
 def display_logs(logs: DataFrame) -> DataFrame:
     """One record per display of a page log. Displays on start logs are not emitted."""
-    return page_logs(logs).select(
-        "id", F.explode(display_values(F.col("value"), F.col("page_id"))).alias("value")
-    )
+    return page_logs(logs).select("id", F.explode(display_values()).alias("value"))
 
 
 def split_log(logs: DataFrame) -> DataFrame:
@@ -92,12 +102,11 @@ def split_log(logs: DataFrame) -> DataFrame:
 
     value = F.col("value")
     page = F.array(record(Topic.PAGE, value))
-    displays = F.transform(
-        display_values(value, F.col("page_id")), lambda text: record(Topic.DISPLAY, text)
-    )
+    displays = F.transform(display_values(), lambda text: record(Topic.DISPLAY, text))
     outputs = (
         F.when(~is_usable(), F.array(record(QUARANTINE_TOPIC, value)))
         .when(F.col("is_start"), F.array(record(Topic.START, value)))
+        .when(F.col("displays").isNull(), page)
         .otherwise(F.concat(page, displays))
     )
     return logs.select("id", F.explode(outputs).alias("out")).select(

@@ -5,32 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LONGS = ("bigint", "int")
 
-def parse_once(df: DataFrame, doc: Column, fields: dict[str, Column]) -> DataFrame:
-    """Add ``fields``, all read from the parsed document ``doc`` (seen by them as ``doc``).
 
-    The fields go through a one-row generator. Without it the optimizer copies the JSON
-    parse into every filter it pushes down, and each text is parsed twice or more.
+def parse_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """Replace nothing, add the members named by ``schema`` of the JSON object ``value``.
+
+    Text that is not one JSON object gives nulls. The members go through a one-row
+    generator: without it the optimizer copies the parse into every filter it pushes down,
+    and each text is parsed twice or more.
     """
-    parsed = df.withColumn("doc", doc)
-    record = F.struct(*[c.alias(name) for name, c in fields.items()])
-    return parsed.select(*[F.col(c) for c in df.columns], F.inline(F.array(record)))
+    return df.select("*", F.inline(F.array(F.from_json(value, schema))))
+
 
+def as_long(text: Column) -> Column:
+    """An integer member read as text, whether it was quoted or not; fractions are cut off."""
+    whole = text.try_cast("bigint")
+    return F.coalesce(whole, text.try_cast("decimal(38,6)").try_cast("bigint"))
 
-def variant_fields(paths: dict[str, tuple[str, str]]) -> dict[str, Column]:
-    """Typed columns read from ``doc``; null when absent or not convertible.
 
-    Numbers may be quoted and strings may be numbers: the conversion accepts both.
+def parse_fields(df: DataFrame, types: dict[str, str], value: str = "value") -> DataFrame:
+    """Parse a flat JSON object into the columns of ``types``, keeping the other columns.
+
+    Numbers may be quoted: integers are read as text, and decimals accept both anyway.
     """
-    return {
-        name: F.try_variant_get("doc", path, kind) for name, (path, kind) in paths.items()
-    }
+    read_as = {name: "string" if kind in LONGS else kind for name, kind in types.items()}
+    parsed = parse_json(df, ", ".join(f"{name} {kind}" for name, kind in read_as.items()), value)
+    longs = {name: as_long(F.col(name)) for name, kind in types.items() if kind in LONGS}
+    return parsed.withColumns(longs)
 
 
-def parse_fields(df: DataFrame, types: dict[str, str], value: str = "value") -> DataFrame:
-    """Parse a flat JSON object into the columns of ``types``, keeping the other columns."""
-    paths = {name: (f"$.{name}", kind) for name, kind in types.items()}
-    return parse_once(df, F.try_parse_json(value), variant_fields(paths))
+def is_filled_object(text: Column) -> Column:
+    """True when a member read as text is an object with at least one member."""
+    return F.coalesce(text.rlike(r'^\s*\{\s*"'), F.lit(False))
 
 
 def to_value(df: DataFrame, *columns: str) -> Column:

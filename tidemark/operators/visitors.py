@@ -24,23 +24,29 @@ def entry_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(is_entry())
 
 
-def repair_new_visitor(logs: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def first_new_days(logs: DataFrame) -> DataFrame:
+    """``(mid, first_day)`` of the devices flagged new on two or more days.
+
+    Only their logs can need a repair. A narrow aggregate with map-side combining.
+    """
+    flagged = logs.filter((F.col("is_new") == NEW) & F.col("mid").isNotNull())
+    days = flagged.groupBy("mid").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    return days.filter(F.col("last_day") > F.col("first_day")).select("mid", "first_day")
+
+
+def repair_new_visitor(
+    logs: DataFrame, flags: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Clear the new-visitor flag of flagged logs that fall on another than the first day.
 
     The first day of a device is the day of its earliest flagged log. Logs not flagged
-    neither count nor change. Only devices flagged on two or more days can need a repair;
-    their first days, one narrow aggregate with map-side combining, form the lookup table.
-    It is written out first, so that its true size decides how it is joined, and the logs
-    themselves are shuffled only when it is too large to send to them.
+    neither count nor change. ``flags`` holds ``(mid, is_new, day)`` of the same logs, where
+    that is cheaper to read than the logs. The first days are written out before use, so
+    that their true size decides how they are joined, and the logs themselves are shuffled
+    only when it is too large to send to them.
     """
-    days = (
-        logs.filter((F.col("is_new") == NEW) & F.col("mid").isNotNull())
-        .groupBy("mid")
-        .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-        .filter(F.col("last_day") > F.col("first_day"))
-        .select("mid", "first_day")
-    )
-    return apply_first_days(logs, stage(days, "first-days"), rows_per_task)
+    days = stage(first_new_days(logs if flags is None else flags), "first-days")
+    return apply_first_days(logs, days, rows_per_task)
 
 
 def apply_first_days(

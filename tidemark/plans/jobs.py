@@ -12,7 +12,7 @@ from tidemark.operators.stats import DIMENSIONS
 
 def repaired_logs(raw: DataFrame) -> DataFrame:
     """Raw log records to typed logs with the new-visitor flag repaired."""
-    return visitors.repair_new_visitor(logs.parse_log(raw))
+    return visitors.repair_new_visitor(logs.parse_log(raw), flags=logs.parse_flags(raw))
 
 
 def log_outputs(raw: DataFrame) -> DataFrame:

@@ -7,18 +7,13 @@ RECORD = "id bigint, value string"
 
 MONEY = "decimal(18,2)"
 
-# Typed fields of a log line: column -> (JSON path, type).
-LOG_FIELDS = {
-    "mid": ("$.common.mid", "string"),
-    "vc": ("$.common.vc", "string"),
-    "ch": ("$.common.ch", "string"),
-    "ar": ("$.common.ar", "string"),
-    "is_new": ("$.common.is_new", "string"),
-    "page_id": ("$.page.page_id", "string"),
-    "last_page_id": ("$.page.last_page_id", "string"),
-    "during_time": ("$.page.during_time", "bigint"),
-    "ts": ("$.ts", "bigint"),
-}
+# The members of a log line. Members that may be a number or a quoted number are read as
+# text, and so are those only looked at as a whole.
+LOG = (
+    "common struct<mid:string,vc:string,ch:string,ar:string,is_new:string>, start string, "
+    "page struct<page_id:string,last_page_id:string,during_time:string>, displays string, ts string"
+)
+LOG_FLAGS = "common struct<mid:string,is_new:string>, ts string"
 
 # Field names and types of the order topics.
 ORDER_FIELDS = {

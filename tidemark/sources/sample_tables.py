@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input over all cores.
+
+    A file of one row group is read by one task. A large input has more tasks than cores
+    already and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def log_records(events: DataFrame) -> DataFrame:
     """``events`` as log lines ``(id, value)``."""
     kind = F.col("event_type")
