@@ -40,9 +40,25 @@ def _measures(jump: str) -> str:
         union all select ar, ch, vc, is_new, ts, 0, 0, 0, 1, 0 from {jump}"""
 
 
+# Log lines of which some are unusable. A line without its device or time takes no part in
+# the repair of flags.
+VIEWS["damaged"] = """
+        select id, event_type, k, event_type = 'signup' as start,
+          id % 10 not in (0, 1, 2) and (id % 10 <> 3 or event_type = 'signup') as usable,
+          case when is_new = '1' and day <> min(day)
+                 filter (where is_new = '1' and id % 10 not in (0, 1, 2)) over (partition by mid)
+               then '0' else is_new end as is_new
+        from raw"""
 VIEWS["measures10s"] = _measures("jump10s")
 VIEWS["measures6h"] = _measures("jump6h")
 
+# What a stream has decided when it ends: a bounce when its cell of six hours and the next
+# are over, a day when it is over and three seconds more have passed.
+VIEWS["closed6h"] = """
+        select * from jump6h
+        where (ts // 21600000 + 2) * 21600000 <= (select max(ts) from page)"""
+VIEWS["measures_closed"] = _measures("closed6h")
+
 VIEWS["user_dim"] = """
         select c_custkey::varchar as id,
           strftime(date '1960-01-01' + (c_custkey * 7 % 16000)::int, '%Y-%m-%d') as birthday,
@@ -225,4 +241,24 @@ QUERIES = {
         from change""",
 }
 
+QUERIES |= {
+    "stream_log_split": """
+        select 'dwd_start_log' as topic, id, is_new from damaged where usable and start
+        union all select 'dwd_page_log', id, is_new from damaged where usable and not start
+        union all select 'dwd_display_log', id, null
+          from damaged cross join (values (0), (1)) t(i)
+          where usable and event_type = 'click' and i < k % 3
+        union all select 'quarantine', id, null from damaged where not usable""",
+    "stream_unique_visits": "select id, mid, is_new, ts from uv",
+    "stream_bounces_6h": "select id, mid, is_new, ts from closed6h",
+    "stream_visitor_stats_1d": _stats("measures_closed", 86_400_000)
+    + " having w + 86400000 <= (select max(ts) - 3000 from page)",
+    "stream_order_wide_user": QUERIES["order_wide_user"],
+    "stream_cdc_route": """
+        select case when source_table = 'user_info' then 'dim_user_info'
+               when type = 'insert' then 'dwd_order_info'
+               else 'dwd_order_info_update' end as sink_table, id
+        from change""",
+}
+
 ORACLE: dict[str, str] = {name: _with(query) for name, query in QUERIES.items()}
