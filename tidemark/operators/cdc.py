@@ -45,7 +45,7 @@ def route_cdc(
         "sink_type",
         "sink_table",
         "sink_pk",
-        F.transform(F.split("sink_columns", ","), F.trim).alias("_wanted"),
+        F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("_wanted"),
     )
     joined = join_table(
         changes, table, ["table", "type"], "inner", spread_by=["id"], rows_per_task=rows_per_task

@@ -74,8 +74,13 @@ def start_logs(logs: DataFrame) -> DataFrame:
 
 
 def display_values() -> Column:
-    """The displays of a page log as JSON texts, each with the page id set on it."""
-    displays = F.from_json("displays", f"array<{OBJECT}>")
+    """The displays of a page log as JSON texts, each with the page id set on it.
+
+    Elements that are not objects are no displays.
+    """
+    displays = F.transform(
+        F.from_json("displays", "array<variant>"), lambda d: F.try_variant_get(d, "$", OBJECT)
+    )
 
     def render(display: Column) -> Column:
         tagged = with_entry(display, "page_id", text_variant(F.col("page_id")))

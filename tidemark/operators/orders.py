@@ -103,7 +103,9 @@ def interval_join(
     cell = max(2 * (upper_ms - lower_ms), 1000)
 
     def cell_of(ts: Column) -> Column:
-        return ts - F.pmod(ts, F.lit(cell))
+        # Cells start at half seconds, so short intervals around whole seconds are in one.
+        shifted = ts + cell // 2
+        return shifted - F.pmod(shifted, F.lit(cell))
 
     def prefixed(df: DataFrame, prefix: str) -> DataFrame:
         timed = df.filter(F.col("create_ts").isNotNull()).withColumn(
