@@ -51,13 +51,13 @@ def test_routing(rows):
     ]
 
 
-def test_routing_by_shuffle_with_a_hot_table(spark, rows):
+def test_routing_by_shuffle(spark, rows):
     texts = [{"table": "order_info", "type": "insert", "data": {"id": i}} for i in range(60)]
     texts.append({"table": "user_info", "type": "insert", "data": {"id": 1}})
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        routed = cdc.route_cdc(change(rows, *texts), rows(RULES, ROUTING), rows_per_task=7)
+        routed = cdc.route_cdc(change(rows, *texts), rows(RULES, ROUTING))
         assert dict(rows(routed.groupBy("sink_table").count())) == {"dwd_order": 60, "dim_user": 1}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.operators import logs, visitors
-from tidemark.operators.skew import salted_join
+from tidemark.operators.skew import hot_keys, salted_join, split_join
 from tidemark.plans import jobs
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, Topic
 
@@ -125,11 +125,13 @@ def test_salted_join_spreads_a_hot_key(spark, rows):
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k")
     )
     table = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k string, v int")
-    joined = salted_join(facts, table, ["k"], spread_by=["id"], rows_per_task=100)
+    hot = hot_keys(facts, ["k"], 100)
+    assert rows(hot) == [("hot", 10)]
+    joined = salted_join(facts, table, ["k"], "left", hot, ["id"])
     assert joined.columns == ["k", "id", "v"]
     counts = dict(rows(joined.groupBy("v").count()))
     assert counts == {None: 3000 - 1001, 1: 1000, 2: 1}
-    inner = salted_join(facts, table, ["k"], "inner", ["id"], rows_per_task=100)
+    inner = salted_join(facts, table, ["k"], "inner", hot, ["id"])
     assert inner.count() == 1001
 
 
@@ -137,6 +139,32 @@ def test_salted_join_on_two_keys(spark, rows):
     facts = spark.range(1000).select("id", F.lit("x").alias("a"), (F.col("id") % 2).alias("b"))
     facts = facts.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a")))
     table = spark.createDataFrame([("x", 0, "even")], "a string, b bigint, v string")
-    joined = salted_join(facts, table, ["a", "b"], rows_per_task=50)
+    joined = salted_join(facts, table, ["a", "b"], "left", hot_keys(facts, ["a", "b"], 50))
     assert joined.count() == 1000
     assert joined.filter("v = 'even'").count() == 400
+
+
+def test_split_join_lets_adaptive_execution_split_hot_and_keyless_rows(spark, rows):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
+        facts = spark.range(0, 90_000, 1, 12).select("id", key.alias("k"))
+        table = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        joined = split_join(facts, table, ["k"], "left", ["id"])
+        counts = dict(rows(joined.groupBy(F.col("v").isNotNull()).count()))
+        assert counts == {True: 30_000 + 33, False: 60_000 - 33}
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -114,8 +114,9 @@ def test_enrich_by_shuffle_with_hot_keys(spark, rows):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = dims.enrich(facts, dim, {"k": "id"}, {"v": "v"}, rows_per_task=50)
-        assert dict(rows(got.groupBy("v").count())) == {"one": 600, None: 300}
+        for rows_per_task in (None, 50):
+            got = dims.enrich(facts, dim, {"k": "id"}, {"v": "v"}, rows_per_task=rows_per_task)
+            assert dict(rows(got.groupBy("v").count())) == {"one": 600, None: 300}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 

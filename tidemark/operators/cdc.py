@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.records import json_null_free, parse_json
-from tidemark.operators.skew import ROWS_PER_TASK, join_table
+from tidemark.operators.skew import join_table
 
 OBJECT = "map<string,variant>"
 
@@ -29,9 +29,7 @@ def clean_cdc(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("table").isNotNull() & (members > 0))
 
 
-def route_cdc(
-    changes: DataFrame, rules: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def route_cdc(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Send each cleaned change where the rule for its table and operation says.
 
     Gives ``(sink_type, sink_table, sink_pk, key, id, value)``: ``value`` is the JSON text
@@ -47,9 +45,7 @@ def route_cdc(
         "sink_pk",
         F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("_wanted"),
     )
-    joined = join_table(
-        changes, table, ["table", "type"], "inner", spread_by=["id"], rows_per_task=rows_per_task
-    )
+    joined = join_table(changes, table, ["table", "type"], "inner", spread_by=["id"])
     kept = F.map_filter(
         json_null_free(F.col("data")),
         lambda k, v: F.col("_wanted").isNull() | F.array_contains(F.col("_wanted"), k),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import ROWS_PER_TASK, join_table
+from tidemark.operators.skew import hot_keys, join_table
 
 CACHE_SECONDS = 24 * 60 * 60
 
@@ -76,7 +76,7 @@ def enrich(
     columns: dict[str, str | Callable[[Callable[[str], Column]], Column]],
     order_by: list[str] | None = None,
     unique: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Fill fact columns from the dimension row with equal keys.
 
@@ -85,6 +85,10 @@ def enrich(
     expression from dimension columns. When no row matches the fact passes unchanged. Of
     several rows with the same key the first by ``order_by`` counts; ``unique`` says there
     are none, which saves looking.
+
+    A dimension too large to send to the facts is joined by a shuffle. Keys with many facts
+    are then split by adaptive execution, or, given ``rows_per_task``, counted first and
+    salted. Counting reads the facts once more, so it is for facts that are a table.
     """
     keys = {f"_key{i}": pair for i, pair in enumerate(on.items())}
     source = _frame(dim)
@@ -102,7 +106,8 @@ def enrich(
         *[value(spec).alias(f"_dim_{name}") for name, spec in columns.items()],
     )
     plain = facts.withColumns({k: F.col(f).cast("string") for k, (f, _) in keys.items()})
-    joined = join_table(plain, table, list(keys), "left", rows_per_task=rows_per_task)
+    hot = None if rows_per_task is None else hot_keys(plain, list(keys), rows_per_task)
+    joined = join_table(plain, table, list(keys), "left", hot)
 
     kinds = dict(facts.dtypes)
     filled = {}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.staging import stage
+
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
 
@@ -19,33 +21,28 @@ def plan_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own broadcast limit in bytes."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(conf.autoBroadcastJoinThreshold())
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     return plan_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(facts: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
+def hot_keys(
+    facts: DataFrame,
+    on: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    rows: Column | None = None,
+) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows, and the number of salts each gets.
 
-    Holds at most ``rows / rows_per_task`` keys, whatever the distribution.
+    Holds at most ``rows / rows_per_task`` keys, whatever the distribution. ``rows`` gives
+    the rows a fact stands for, when the facts are counted already.
     """
-    present = facts.select(*on).dropna("any")
-    counts = present.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    salts = F.ceil(F.col("_rows") / rows_per_task).cast("int")
-    return counts.filter(F.col("_rows") > rows_per_task).select(*on, salts.alias("_salts"))
-
-
-def _spread_hash(facts: DataFrame, on: list[str], spread_by: list[str] | None) -> Column:
-    plain = ("string", "bigint", "int", "double", "float", "date", "timestamp", "boolean")
-    names = spread_by or [
-        name
-        for name, kind in facts.dtypes
-        if name not in on and (kind in plain or kind.startswith("decimal"))
-    ]
-    return F.xxhash64(*names) if names else F.lit(0).cast("bigint")
+    present = facts.dropna("any", subset=on)
+    total = F.sum(F.lit(1) if rows is None else rows).alias("_rows")
+    counts = present.groupBy(*on).agg(total).filter(F.col("_rows") > rows_per_task)
+    return counts.select(*on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
 
 
 def join_table(
@@ -53,36 +50,76 @@ def join_table(
     table: DataFrame,
     on: list[str],
     how: str = "left",
+    hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join facts to a table holding at most one row per key of ``on``.
 
     A table within the session's broadcast limit is left to the optimizer, which sends it
-    to the facts. A larger one is joined by a shuffle in which keys with more than
-    ``rows_per_task`` facts are salted: their facts spread over ``rows / rows_per_task``
-    tasks and their one table row is repeated for each. Facts with a null key are spread
-    too. ``spread_by`` names fact columns that tell the rows of a key apart.
+    to the facts. A larger one is joined by a shuffle in which no key is too much for a
+    task: with ``hot`` (see :func:`hot_keys`) by salting, otherwise by adaptive execution,
+    which splits oversized partitions of the facts. Facts with a null key are spread over
+    all tasks. ``spread_by`` names fact columns that tell the rows of a key apart.
     """
     if facts.isStreaming or fits_broadcast(table):
         return facts.join(table, on, how)
-    return salted_join(facts, table, on, how, spread_by, rows_per_task)
+    if hot is not None:
+        return salted_join(facts, table, on, how, hot, spread_by)
+    return split_join(facts, table, on, how, spread_by)
 
 
 def salted_join(
     facts: DataFrame,
     table: DataFrame,
     on: list[str],
-    how: str = "left",
+    how: str,
+    hot: DataFrame,
     spread_by: list[str] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """The shuffle form of :func:`join_table`."""
-    hot = F.broadcast(hot_keys(facts, on, rows_per_task))  # at most rows / rows_per_task keys
-    keyless = F.greatest(*[F.col(c).isNull() for c in on]) if len(on) > 1 else F.col(on[0]).isNull()
-    salts = F.when(keyless, F.lit(UNKEYED_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
-    spread = F.pmod(_spread_hash(facts, on, spread_by), salts).cast("int")
-    left = facts.join(hot, on, "left").withColumn("_salt", spread).drop("_salts")
+    """Shuffle join with the facts of a hot key spread over its salts.
+
+    The table row of a hot key is repeated once per salt, all others stay single.
+    """
+    hot = F.broadcast(hot)  # at most rows / rows_per_task keys
+    salts = F.when(_keyless(on), F.lit(UNKEYED_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(_content(facts, on, spread_by), salts).cast("int")
+    left = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def split_join(
+    facts: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    how: str,
+    spread_by: list[str] | None = None,
+) -> DataFrame:
+    """Shuffle join that adaptive execution can split.
+
+    It splits a partition of the facts only when both sides come straight from a shuffle,
+    so a table that is the result of grouping or ranking is written out first.
+    """
+    unkeyed = F.pmod(_content(facts, on, spread_by), F.lit(UNKEYED_SALTS)).cast("int")
+    left = facts.withColumn("_salt", F.when(_keyless(on), unkeyed).otherwise(F.lit(0)))
+    right = stage(table, "lookup").withColumn("_salt", F.lit(0))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def _keyless(on: list[str]) -> Column:
+    missing = F.col(on[0]).isNull()
+    for name in on[1:]:
+        missing = missing | F.col(name).isNull()
+    return missing
+
+
+def _content(facts: DataFrame, on: list[str], spread_by: list[str] | None) -> Column:
+    """A hash telling the rows of a key apart; always the same for a row, also when retried."""
+    plain = ("string", "bigint", "int", "double", "float", "date", "timestamp", "boolean")
+    names = spread_by or [
+        name
+        for name, kind in facts.dtypes
+        if name not in on and (kind in plain or kind.startswith("decimal"))
+    ]
+    return F.xxhash64(*names) if names else F.lit(0).cast("bigint")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import is_blank
 from tidemark.operators.records import text_variant, with_entry
-from tidemark.operators.skew import ROWS_PER_TASK, join_table
+from tidemark.operators.skew import ROWS_PER_TASK, hot_keys, join_table
 from tidemark.sources.staging import stage
 
 NEW = "1"
@@ -25,13 +25,18 @@ def entry_pages(pages: DataFrame) -> DataFrame:
 
 
 def first_new_days(logs: DataFrame) -> DataFrame:
-    """``(mid, first_day)`` of the devices flagged new on two or more days.
+    """``(mid, first_day, flagged)`` of the devices flagged new on two or more days.
 
-    Only their logs can need a repair. A narrow aggregate with map-side combining.
+    Only their logs can need a repair; ``flagged`` counts them. A narrow aggregate with
+    map-side combining.
     """
-    flagged = logs.filter((F.col("is_new") == NEW) & F.col("mid").isNotNull())
-    days = flagged.groupBy("mid").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-    return days.filter(F.col("last_day") > F.col("first_day")).select("mid", "first_day")
+    rows = logs.filter((F.col("is_new") == NEW) & F.col("mid").isNotNull())
+    days = rows.groupBy("mid").agg(
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+        F.count(F.lit(1)).alias("flagged"),
+    )
+    return days.filter(F.col("last_day") > F.col("first_day")).drop("last_day")
 
 
 def repair_new_visitor(
@@ -46,21 +51,22 @@ def repair_new_visitor(
     only when it is too large to send to them.
     """
     days = stage(first_new_days(logs if flags is None else flags), "first-days")
-    return apply_first_days(logs, days, rows_per_task)
+    hot = hot_keys(days, ["mid"], rows_per_task, rows=F.col("flagged"))
+    return apply_first_days(logs, days, hot)
 
 
-def apply_first_days(
-    logs: DataFrame, first_days: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Repair logs by a table of ``(mid, first_day)``, in ``is_new`` and in the text."""
-    table = first_days.select(F.col("mid").alias("_flagged"), "first_day")
+def apply_first_days(logs: DataFrame, first_days: DataFrame, hot: DataFrame) -> DataFrame:
+    """Repair logs by a table of ``(mid, first_day)``, in ``is_new`` and in the text.
+
+    ``hot`` holds the devices with many flagged logs, see ``hot_keys``.
+    """
     flagged = F.when(F.col("is_new") == NEW, F.col("mid"))
     joined = join_table(
         logs.withColumn("_flagged", flagged),
-        table,
+        first_days.select(F.col("mid").alias("_flagged"), "first_day"),
         ["_flagged"],
+        hot=hot.withColumnRenamed("mid", "_flagged"),
         spread_by=["id"],
-        rows_per_task=rows_per_task,
     )
     wrong = F.coalesce(F.col("day") != F.col("first_day"), F.lit(False))
     repaired = {

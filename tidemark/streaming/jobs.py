@@ -14,6 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import bounce, cdc, logs, orders, stats
 from tidemark.operators.dims import Dimension
+from tidemark.operators.skew import hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
 from tidemark.plans import jobs
 from tidemark.schemas import SinkType, Topic
@@ -83,8 +84,11 @@ def start_logs(raw: DataFrame, sink: Sink, checkpoint: str, **options) -> Stream
         days = rows.filter(~F.col("is_log")).select("mid", "first_day").persist()
         try:
             days.count()  # makes the size of the cached days known to the join
-            parsed = logs.parse_log(rows.filter("is_log").select("id", "value"))
-            sink(logs.split_log(apply_first_days(parsed, days)), batch_id)
+            records = rows.filter("is_log").select("id", "value")
+            flagged = logs.parse_flags(records).filter(F.col("is_new") == NEW)
+            hot = hot_keys(flagged.select("mid"), ["mid"])
+            repaired = apply_first_days(logs.parse_log(records), days, hot)
+            sink(logs.split_log(repaired), batch_id)
         finally:
             days.unpersist()
             rows.unpersist()
