@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import tempfile
 
 import pytest
@@ -84,3 +85,11 @@ def test_staged_tables_are_columnar_and_in_the_shared_folder(spark, rows):
     assert rows(staged) == [(1, "a")]
     assert staged.inputFiles()[0].startswith(f"file://{staging.shared_dir(spark)}")
     assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_staged_tables_can_be_released(spark, rows):
+    staged = staging.stage(rows([(1, "a")], "id bigint, v string"), "t")
+    folder = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    staging.release(spark)
+    assert not os.path.exists(folder)

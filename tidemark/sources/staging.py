@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Paths made by this process in the shared folder.
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -25,15 +28,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return that table.
 
     The result has no lineage behind it, survives lost executors, is columnar (so columns
-    not needed later are not read), and has a size known to the optimizer.
+    not needed later are not read), and has a size known to the optimizer. The table stays
+    until :func:`release`, as results not computed yet may read it.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables staged by this process, when the results built on them are written."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
