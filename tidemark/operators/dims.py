@@ -95,7 +95,8 @@ def enrich(
     keyed = source.withColumns({k: F.col(d).cast("string") for k, (_, d) in keys.items()})
     keyed = keyed.dropna("any", subset=list(keys))
     if not unique:
-        keyed = first_rows(keyed, list(keys), order_by or source.columns)
+        rest = [c for c in source.columns if c not in on.values()]
+        keyed = first_rows(keyed, list(keys), order_by or rest or list(on.values()))
 
     def value(spec) -> Column:
         return F.col(spec) if isinstance(spec, str) else spec(F.col)
