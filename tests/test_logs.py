@@ -144,27 +144,12 @@ def test_salted_join_on_two_keys(spark, rows):
     assert joined.filter("v = 'even'").count() == 400
 
 
-def test_split_join_lets_adaptive_execution_split_hot_and_keyless_rows(spark, rows):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.shuffle.partitions": "20",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
-        facts = spark.range(0, 90_000, 1, 12).select("id", key.alias("k"))
-        table = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-        joined = split_join(facts, table, ["k"], "left", ["id"])
-        counts = dict(rows(joined.groupBy(F.col("v").isNotNull()).count()))
-        assert counts == {True: 30_000 + 33, False: 60_000 - 33}
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def test_split_join_lets_adaptive_execution_split_hot_and_keyless_rows(spark, rows, small_partitions):
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
+    facts = spark.range(0, 90_000, 1, 12).select("id", key.alias("k"))
+    table = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = split_join(facts, table, ["k"], "left", ["id"])
+    counts = dict(rows(joined.groupBy(F.col("v").isNotNull()).count()))
+    assert counts == {True: 30_000 + 33, False: 60_000 - 33}
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()

@@ -69,6 +69,19 @@ def test_all_pairs_of_an_id_within_the_interval(rows):
     assert sorted(got) == sorted(expected)
 
 
+def test_a_hot_order_is_split(spark, rows, small_partitions):
+    """A third of the details are of one order, in one cell and over many."""
+    at = F.lit(T0) + F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+    owner = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))
+    details = spark.range(0, 60_000, 1, 12).select("id", owner.alias("order_id"), at.alias("create_ts"))
+    left = spark.range(0, 60_000, 1, 4).select("id", F.lit(T0).alias("create_ts"))
+    joined = orders.interval_join(left, details)
+    got = joined.filter("o_id = 1").count()
+    assert got == 10_000 + 2 and joined.select("d_id").distinct().count() == joined.count()
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def wide_rows(rows, *partial):
     names = ["detail_id", "order_id", "sku_id", "user_id", "user_age", "user_gender"]
     return rows(list(partial), "detail_id bigint, order_id bigint, sku_id bigint, user_id bigint, user_age int, user_gender string").select(*names)

@@ -17,6 +17,7 @@ def bounces(
     within_ms: int = WITHIN_MS,
     first: Column | None = None,
     watermark_ms: int = WATERMARK_MS,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Pages meeting ``first`` whose next page of the same device is not within ``within_ms``.
 
@@ -28,13 +29,15 @@ def bounces(
     before as a follower, and the rest is a single aggregate per device and cell: it
     combines before the shuffle, and a task sends at most one row per device and cell,
     however hot the device. On a stream a cell is final when the watermark has passed the
-    cell after it.
+    cell after it. ``columns`` names the columns to give back, which are what the shuffle
+    carries (default: all).
     """
     start_of = is_entry() if first is None else first
     ts = F.col("ts")
+    given = pages.columns if columns is None else columns
     own = F.struct(
         ts.alias("at_ts"),
-        F.when(start_of, F.struct(*pages.columns)).alias("page"),
+        F.when(start_of, F.struct(*given)).alias("page"),
         F.struct("ts", "id").alias("at"),
         F.lit(None).cast("bigint").alias("next_ts"),
     )
@@ -53,7 +56,9 @@ def bounces(
         # A number instead of a window, and as the first key, makes the sorts cheaper.
         cell = F.col("at_ts") - F.pmod(F.col("at_ts"), F.lit(within_ms))
     decided = marked.groupBy(cell.alias("cell"), "mid").agg(
-        F.max_by("page", "at").alias("page"), F.min("next_ts").alias("next_ts")
+        F.max_by("page", "at").alias("page"),
+        F.max("at").alias("at"),
+        F.min("next_ts").alias("next_ts"),
     )
-    unfollowed = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("page.ts") >= within_ms)
+    unfollowed = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("at.ts") >= within_ms)
     return decided.filter(F.col("page").isNotNull() & unfollowed).select("page.*")

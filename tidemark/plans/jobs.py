@@ -33,7 +33,7 @@ def measures(pages: DataFrame, within_ms: int = bounce.WITHIN_MS) -> DataFrame:
     return stats.union_measures(
         stats.page_measures(pages),
         stats.unique_visit_measures(visitors.unique_visits(narrow)),
-        stats.bounce_measures(bounce.bounces(narrow, within_ms)),
+        stats.bounce_measures(bounce.bounces(narrow, within_ms, columns=[*DIMENSIONS, "ts"])),
     )
 
 

@@ -125,8 +125,10 @@ def bounce_records(
     within_ms: int = bounce.WITHIN_MS,
     watermark_ms: int = bounce.WATERMARK_MS,
 ) -> DataFrame:
-    pages = parse_pages(page_records).select("id", "value", "mid", "last_page_id", "ts")
-    return bounce.bounces(pages, within_ms, watermark_ms=watermark_ms).select("id", "value")
+    pages = parse_pages(page_records)
+    return bounce.bounces(
+        pages, within_ms, watermark_ms=watermark_ms, columns=["id", "value"]
+    )
 
 
 def start_bounces(
