@@ -57,7 +57,8 @@ def test_routing_by_shuffle(spark, rows):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        routed = cdc.route_cdc(change(rows, *texts), rows(RULES, ROUTING))
-        assert dict(rows(routed.groupBy("sink_table").count())) == {"dwd_order": 60, "dim_user": 1}
+        for rows_per_task in (None, 7):
+            routed = cdc.route_cdc(change(rows, *texts), rows(RULES, ROUTING), rows_per_task)
+            assert dict(rows(routed.groupBy("sink_table").count())) == {"dwd_order": 60, "dim_user": 1}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -141,7 +141,10 @@ def test_bounces_equal_the_batch_job_up_to_open_cells(spark, session, home):
     assert ids(files.read_topic(spark, out, Topic.BOUNCE)) == ids(bounce.bounces(pages))
 
 
-def test_interval_join_on_streams(spark, session, home):
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_interval_join_on_streams(spark, session, home, limit):
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     left, right, out = f"{home}/orders", f"{home}/details", f"{home}/wide"
     at = "2024-01-01 10:00:%02d"
     for b in range(2):
@@ -156,6 +159,7 @@ def test_interval_join_on_streams(spark, session, home):
         f"{home}/check",
     )
     done(query)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     got = files.read_topic(spark, out, Topic.ORDER_WIDE)
     rows = [json.loads(r[0]) for r in got.select("value").collect()]
     assert sorted(r["order_id"] for r in rows) == list(range(20))  # details a second off do not join

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.records import json_null_free, parse_json
-from tidemark.operators.skew import join_table
+from tidemark.operators.skew import hot_keys, join_table
 
 OBJECT = "map<string,variant>"
 
@@ -29,13 +29,16 @@ def clean_cdc(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("table").isNotNull() & (members > 0))
 
 
-def route_cdc(changes: DataFrame, rules: DataFrame) -> DataFrame:
+def route_cdc(
+    changes: DataFrame, rules: DataFrame, rows_per_task: int | None = None
+) -> DataFrame:
     """Send each cleaned change where the rule for its table and operation says.
 
     Gives ``(sink_type, sink_table, sink_pk, key, id, value)``: ``value`` is the JSON text
     of the members named in ``sink_columns`` (all members when none are named), ``key`` the
     text of the ``sink_pk`` member. Changes without a rule are dropped. ``rules`` has one
-    row per table and operation.
+    row per table and operation. Rules too many to send to the changes are joined as in
+    ``join_table``, with ``rows_per_task`` by counting the changes and salting.
     """
     table = rules.select(
         F.col("source_table").alias("table"),
@@ -45,7 +48,9 @@ def route_cdc(changes: DataFrame, rules: DataFrame) -> DataFrame:
         "sink_pk",
         F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("_wanted"),
     )
-    joined = join_table(changes, table, ["table", "type"], "inner", spread_by=["id"])
+    on = ["table", "type"]
+    hot = None if rows_per_task is None else hot_keys(changes, on, rows_per_task)
+    joined = join_table(changes, table, on, "inner", hot, spread_by=["id"])
     kept = F.map_filter(
         json_null_free(F.col("data")),
         lambda k, v: F.col("_wanted").isNull() | F.array_contains(F.col("_wanted"), k),

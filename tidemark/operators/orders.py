@@ -148,7 +148,12 @@ def order_wide_values(wide: DataFrame) -> DataFrame:
     return wide.select(F.col("detail_id").alias("id"), F.to_json(F.struct("*")).alias("value"))
 
 
-def with_user(wide: DataFrame, users: DataFrame | Dimension, as_of: Column | None = None) -> DataFrame:
+def with_user(
+    wide: DataFrame,
+    users: DataFrame | Dimension,
+    as_of: Column | None = None,
+    rows_per_task: int | None = None,
+) -> DataFrame:
     """Fill age and gender from the user dimension ``(id, birthday, gender)``."""
     return enrich(
         wide,
@@ -158,6 +163,7 @@ def with_user(wide: DataFrame, users: DataFrame | Dimension, as_of: Column | Non
             "user_age": lambda d: age_years(d("birthday"), as_of),
             "user_gender": lambda d: d("gender"),
         },
+        rows_per_task=rows_per_task,
     )
 
 

@@ -1,7 +1,8 @@
 """The warehouse's jobs over streams.
 
 Every job is a query of its own with its own checkpoint; topics join them. A sink is a
-function of a micro-batch and its id, see :mod:`tidemark.sources`.
+function of a micro-batch and its id, see :mod:`tidemark.sources`. Streams run without adaptive
+execution, so lookups in a micro-batch salt its hot keys themselves.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import bounce, cdc, logs, orders, stats
 from tidemark.operators.dims import Dimension
-from tidemark.operators.skew import hot_keys
+from tidemark.operators.skew import ROWS_PER_TASK, hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
 from tidemark.plans import jobs
 from tidemark.schemas import SinkType, Topic
@@ -198,8 +199,12 @@ def start_order_wide(
     )
 
     def batch(wide: DataFrame, batch_id: int) -> None:
-        records = orders.order_wide_values(orders.with_user(wide, users, as_of))
-        to_topic(sink, Topic.ORDER_WIDE)(records, batch_id)
+        wide = wide.persist()  # a large dimension makes the join count the rows first
+        try:
+            filled = orders.with_user(wide, users, as_of, rows_per_task=ROWS_PER_TASK)
+            to_topic(sink, Topic.ORDER_WIDE)(orders.order_wide_values(filled), batch_id)
+        finally:
+            wide.unpersist()
 
     return start(orders.order_wide(pairs), batch, checkpoint, **options)
 
@@ -227,7 +232,7 @@ def start_changes(
         kinds = {row[0] for row in table.select("sink_type").distinct().collect()}
         if kinds - sinks.keys():
             raise ValueError(f"no sink for {sorted(kinds - sinks.keys())}")
-        routed = cdc.route_cdc(cleaned, table).persist()
+        routed = cdc.route_cdc(cleaned, table, rows_per_task=ROWS_PER_TASK).persist()
         try:
             for kind, sink in sinks.items():
                 sink(jobs.change_records(routed, kind), batch_id)
