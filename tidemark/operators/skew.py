@@ -59,7 +59,9 @@ def join_table(
     to the facts. A larger one is joined by a shuffle in which no key is too much for a
     task: with ``hot`` (see :func:`hot_keys`) by salting, otherwise by adaptive execution,
     which splits oversized partitions of the facts. Facts with a null key are spread over
-    all tasks. ``spread_by`` names fact columns that tell the rows of a key apart.
+    all tasks. ``spread_by`` names fact columns that tell the rows of a key apart. Facts
+    that are a stream are joined as they come: what a task gets is bounded by the
+    micro-batch.
     """
     if facts.isStreaming or fits_broadcast(table):
         return facts.join(table, on, how)

@@ -1,8 +1,8 @@
 """The warehouse's jobs over streams.
 
 Every job is a query of its own with its own checkpoint; topics join them. A sink is a
-function of a micro-batch and its id, see :mod:`tidemark.sources`. Streams run without adaptive
-execution, so lookups in a micro-batch salt its hot keys themselves.
+function of a micro-batch and its id, see :mod:`tidemark.sources`. Queries with state run without
+adaptive execution, so lookups in a micro-batch salt its hot keys themselves.
 """
 
 from __future__ import annotations
