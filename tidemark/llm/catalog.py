@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +16,25 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), word_bpe())
+    return bpe.decode(encoded, word_bpe()).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op8_simhash": op8_simhash,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {}
