@@ -46,9 +46,12 @@ class Splitter:
     """The words of a text as the tokenizer's normalizer and splitter make them."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # words come normalized, and normalizing twice can reorder marks
+        self.words_only = Tokenizer.from_file(path)
+        self.words_only.normalizer = normalizers.Sequence([])
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {token.content: i for i, token in added.items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -69,7 +72,7 @@ class Splitter:
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def ids(self, words: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        found = self.words_only.encode_batch(words, add_special_tokens=False)
         return [[self.special[w]] if w in self.special else e.ids for w, e in zip(words, found)]
 
 
