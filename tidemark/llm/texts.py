@@ -56,9 +56,14 @@ def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES)
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words ``[^\\x20\\x09-\\x0D]+``, and the document of each."""
-    inside = ~_SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and the document of each.
+
+    Words are ``[^\\x20\\x09-\\x0D]+``, or runs of other bytes than those ``between`` is true for.
+    """
+    inside = ~between[data]
     before = np.empty(len(data) + 1, bool)
     before[0], before[1:] = False, inside
     border = np.zeros(len(data) + 1, bool)
