@@ -116,10 +116,22 @@ class Measures:
         }
 
     def histograms(self, block) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of character classes, and of the common words and all other words, per document."""
+        """Counts of character classes, and of the common words and all other words, per document.
+
+        A word with a digit (a number, a key, an address) counts as one digit, whatever its length.
+        """
         data, offsets, size = block.data, block.offsets, block.size
         owner = np.repeat(np.arange(size), np.diff(offsets))
-        classes = np.bincount(owner * 8 + _CLASS[data], minlength=size * 8).reshape(size, 8)[:, :7]
+        kinds = _CLASS[data]
+        start, end, doc = word_spans(data, offsets)
+        digits = np.concatenate([[0], np.cumsum(kinds == 2)])
+        number = digits[end] > digits[start]
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[start[number]] += 1
+        edge[end[number]] -= 1
+        kinds[np.cumsum(edge[:-1]) > 0] = 7
+        classes = np.bincount(owner * 8 + kinds, minlength=size * 8).reshape(size, 8)[:, :7]
+        classes[:, 2] = np.bincount(doc[number], minlength=size)
         start, end, doc = word_spans(data, offsets, _NO_LETTER)
         hashes = self.rolling.hashes(self.rolling.sums(_LOWER[data]), start, end)
         at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
