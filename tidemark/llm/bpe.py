@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.texts import blocks
 from tidemark.sources.staging import stage
 
-# Words in the shared table; about 100 bytes each in the memory of a task.
-TABLE_WORDS = 1 << 18
-# Words a task keeps beside the shared table before it starts anew.
-OWN_WORDS = 1 << 18
+# Words in the shared table; about 200 bytes each in the memory of a task.
+TABLE_WORDS = 1 << 16
+# Words a task keeps beside the shared table, or counts, before it starts anew.
+OWN_WORDS = 1 << 16
+# Rows decoded at once.
+DECODE_ROWS = 256
 
 # Characters that normalization only lowers, to others of these, and that all Unicode versions
 # class alike.
@@ -49,9 +51,9 @@ class Splitter:
         from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # words come normalized, and normalizing twice can reorder marks
-        self.words_only = Tokenizer.from_file(path)
-        self.words_only.normalizer = normalizers.Sequence([])
+        # words come normalized to encode_batch, and normalizing twice can reorder marks
+        self.normalizer = self.tokenizer.normalizer
+        self.tokenizer.normalizer = normalizers.Sequence([])
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {token.content: i for i, token in added.items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -68,11 +70,11 @@ class Splitter:
     def _plain(self, text: str) -> list[str]:
         if _PLAIN.fullmatch(text):
             return _SPLIT.findall(text.lower())
-        text = self.tokenizer.normalizer.normalize_str(text)
+        text = self.normalizer.normalize_str(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def ids(self, words: list[str]) -> list[list[int]]:
-        found = self.words_only.encode_batch(words, add_special_tokens=False)
+        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
         return [[self.special[w]] if w in self.special else e.ids for w, e in zip(words, found)]
 
 
@@ -85,6 +87,10 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
     """``word`` and ``n``, over all texts."""
 
+    def table(counts):
+        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
     def run(batches):
         splitter = Splitter(path)
         for batch in batches:
@@ -92,9 +98,10 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
             for _, texts in _texts(batch):
                 for text in texts:
                     counts.update(splitter.words(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-            )
+                if len(counts) > OWN_WORDS:
+                    yield table(counts)
+                    counts = Counter()
+            yield table(counts)
 
     return docs.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -207,8 +214,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 names = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
                 pieces = np.full(max(names.values()) + 1, "", object)
                 pieces[list(names.values())] = list(names)
-            column = batch.column(1)
-            texts = [" ".join(pieces[np.frombuffer(raw, "<u4")].tolist()) for raw in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            for first in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(first, DECODE_ROWS)
+                texts = [" ".join(pieces[np.frombuffer(raw, "<u4")].tolist()) for raw in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
