@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, simhash
+from tidemark.llm import bpe, decontaminate, line_dedup, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +36,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_common(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op5_bm25": op5_bm25,
     "op8_simhash": op8_simhash,
