@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, quality, simhash
+from tidemark.llm import bpe, decontaminate, line_dedup, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op5_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan(_table(spark, sf_dir, "documents"))
+    return secrets.digest(found)
+
+
 def word_bpe() -> str:
     import public_tokenizers
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op5_bm25": op5_bm25,
+    "op6_secrets": op6_secrets,
     "op8_simhash": op8_simhash,
     "op10_bpe": op10_bpe,
 }
