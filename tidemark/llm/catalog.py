@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, quality, secrets, simhash
+from tidemark.llm import bpe, decontaminate, langid, line_dedup, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def word_bpe() -> str:
     import public_tokenizers
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op5_bm25": op5_bm25,
     "op6_secrets": op6_secrets,
+    "op7_langid": op7_langid,
     "op8_simhash": op8_simhash,
     "op10_bpe": op10_bpe,
 }
