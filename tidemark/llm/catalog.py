@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, line_dedup, quality, secrets, simhash
+from tidemark.llm import bpe, decontaminate, langid, line_dedup, quality, secrets, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def word_bpe() -> str:
     import public_tokenizers
 
@@ -62,6 +68,7 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_langid": op7_langid,
     "op8_simhash": op8_simhash,
+    "op9_substrings": op9_substrings,
     "op10_bpe": op10_bpe,
 }
 
