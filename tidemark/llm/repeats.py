@@ -94,14 +94,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, pack binary")
 
 
-def with_places(docs: DataFrame, places: DataFrame, run: Callable, schema: str) -> DataFrame:
+def with_places(
+    docs: DataFrame, places: DataFrame, run: Callable, schema: str, more: tuple[str, ...] = (), how: str = "left"
+) -> DataFrame:
     """Texts joined with the places found in them, given to ``run(data, offsets, ids, hashes, places)``.
 
-    ``places`` has ``doc_id``, ``place`` and ``size``. ``run`` gets some texts end to end and, for each, an
-    array of positions and one of sizes; it returns a record batch of ``schema``.
+    ``places`` has ``doc_id``, ``place``, ``size`` and the columns ``more``. ``run`` gets some texts end to end and,
+    for each, an array of positions and arrays of the other columns; it returns a record batch of ``schema``.
     """
-    lists = places.groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("found"))
-    both = packed(docs).join(lists.withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left")
+    fields = ("place", "size", *more)
+    lists = places.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("found"))
+    both = packed(docs).join(lists.withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), how)
 
     def go(batches):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -116,15 +119,15 @@ def with_places(docs: DataFrame, places: DataFrame, run: Callable, schema: str)
                 part = batch.slice(first, at - first)
                 lists = part.column(3).fill_null([]) if part.column(3).null_count else part.column(3)
                 flat = lists.flatten()
-                place = flat.field(0).to_numpy(zero_copy_only=False)
-                size = flat.field(1).to_numpy(zero_copy_only=False)
+                columns = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(len(fields))]
                 edges = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
                 hashes = part.column(1).to_numpy(zero_copy_only=False)
                 own = []
                 for i, tag in enumerate(tags(hashes).tolist()):
                     mine = slice(int(edges[i]), int(edges[i + 1]))
-                    good = (place[mine] >> POSITION_BITS << POSITION_BITS) == tag
-                    own.append((place[mine][good] - tag, size[mine][good]))
+                    place = columns[0][mine]
+                    good = (place >> POSITION_BITS << POSITION_BITS) == tag
+                    own.append((place[good] - tag, *(c[mine][good] for c in columns[1:])))
                 data = np.frombuffer(b"".join(texts), np.uint8)
                 offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
                 yield run(data, offsets, part.column(0), hashes, own)
