@@ -10,6 +10,7 @@ the corpus.) Decoding joins each id to its piece; the vocabulary bounds that tab
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections import Counter
@@ -172,11 +173,26 @@ class _Table:
         return out, edges
 
 
-def encode(docs: DataFrame, path: str, most: int = TABLE_WORDS) -> DataFrame:
+class _Pieces:
+    """Text of ids, each joined to its piece."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        names = model["model"]["vocab"] | {t["content"]: t["id"] for t in model["added_tokens"]}
+        self.pieces = np.full(max(names.values()) + 1, "", object)
+        self.pieces[list(names.values())] = list(names)
+
+    def texts(self, raw: list[bytes]) -> list[str]:
+        return [" ".join(self.pieces[np.frombuffer(ids, "<u4")].tolist()) for ids in raw]
+
+
+def encode(docs: DataFrame, path: str, most: int = TABLE_WORDS, decoded: bool = False) -> DataFrame:
     """``doc_id`` and ``ids``, little-endian unsigned 32-bit numbers in a binary, for each row.
 
     The ids are those of the tokenizer in the file ``path`` without added special tokens; the
-    strings of special tokens in a text give their ids. Null and empty texts have no ids.
+    strings of special tokens in a text give their ids. Null and empty texts have no ids. With
+    ``decoded`` the same tasks add ``text``, that of :func:`decode`.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = word_table(docs, path, most).toArrow()
@@ -187,36 +203,35 @@ def encode(docs: DataFrame, path: str, most: int = TABLE_WORDS) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((words, ids, length))
 
     def run(batches):
-        table = None
+        table = pieces = None
         for batch in batches:
             for doc_id, texts in _texts(batch):
                 table = table or _Table(*shared.value, Splitter(path))
                 found, edges = table.encode(texts)
                 raw = found.astype("<u4", copy=False).tobytes()
                 each = [raw[4 * a : 4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([doc_id, pa.array(each, pa.binary())], ["doc_id", "ids"])
+                columns = [doc_id, pa.array(each, pa.binary())]
+                if decoded:
+                    pieces = pieces or _Pieces(path)
+                    columns.append(pa.array(pieces.texts(each), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][: len(columns)])
 
-    return docs.mapInArrow(run, "doc_id long, ids binary")
+    return docs.mapInArrow(run, "doc_id long, ids binary" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and the ``text`` of the ids: their pieces joined by one space.
 
-    Only for vocabularies without a decoder of their own.
+    Only for vocabularies without a decoder of their own. Null ids are empty.
     """
 
     def run(batches):
-        from tokenizers import Tokenizer
-
         pieces = None
         for batch in batches:
-            if pieces is None:
-                names = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
-                pieces = np.full(max(names.values()) + 1, "", object)
-                pieces[list(names.values())] = list(names)
+            pieces = pieces or _Pieces(path)
             for first in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(first, DECODE_ROWS)
-                texts = [" ".join(pieces[np.frombuffer(raw, "<u4")].tolist()) for raw in part.column(1).to_pylist()]
+                texts = pieces.texts([raw or b"" for raw in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")

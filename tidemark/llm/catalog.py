@@ -48,8 +48,7 @@ def word_bpe() -> str:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), word_bpe())
-    return bpe.decode(encoded, word_bpe()).select(
+    return bpe.encode(_table(spark, sf_dir, "documents"), word_bpe(), decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
