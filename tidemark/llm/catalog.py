@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, line_dedup, quality, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, quality, secrets, simhash, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op3_suffix_array": op3_suffix_array,
+    "op4_html": op4_html,
     "op5_bm25": op5_bm25,
     "op6_secrets": op6_secrets,
     "op7_langid": op7_langid,
