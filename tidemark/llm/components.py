@@ -10,7 +10,8 @@ from tidemark.sources.staging import stage
 
 def _toward_least(links: DataFrame, node: str, other: str) -> DataFrame:
     """Hang the other ends at each ``node`` on the smallest number among them and the node."""
-    least = links.groupBy(node).agg(F.min(other).alias("least"))
+    # written out, so that adaptive execution can split the links of a hub in the join
+    least = stage(links.groupBy(node).agg(F.min(other).alias("least")), "least")
     both = links.join(least, node)
     return both.select(
         F.least("least", node).alias("a"), F.col(other).alias("b"), F.col(node).alias("at")

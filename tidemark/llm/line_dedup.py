@@ -95,10 +95,11 @@ def _seeds(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "doc_id long, text_hash long, line long, pair long")
 
 
-def _to_first(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Keys of more than one document with their first document, and the rows joined to them."""
+def _to_first(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key more than one document has, with its first document and their number."""
     shared = rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    return rows.join(shared.where("first < last").drop("last"), key)
+    # written out, so that adaptive execution can split the rows of a hot key in the join
+    return rows.join(stage(shared.where("first < last").drop("last"), "shared"), key)
 
 
 def partners(lines: DataFrame, rare: int = RARE_DOCS) -> DataFrame:

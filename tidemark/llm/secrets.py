@@ -151,7 +151,8 @@ def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES
     by_blob = placed.where(F.size("spans") > 0).groupBy("blob")
     found = by_blob.agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("found"))
     none = F.array().cast("array<struct<start:long,kind_order:int,kind:string,stop:long>>")
-    return blobs(docs).join(found, "blob", "left").select("doc_id", F.coalesce("found", none).alias("found"))
+    # written out, so that adaptive execution can split the documents of a hot content in the join
+    return blobs(docs).join(stage(found, "findings"), "blob", "left").select("doc_id", F.coalesce("found", none).alias("found"))
 
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:

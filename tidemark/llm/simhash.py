@@ -250,7 +250,8 @@ def near_duplicates(
     known = found.where("doc_id is not null")
     nodes = stage(known.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     keyed = nodes.select(F.explode(_keys(F.col("fp"))).alias("key"), "fp", "node")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # written out, so that adaptive execution can split the rows of a hot key in the join
+    sizes = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     met = stage(keyed.join(sizes, "key"), "keyed")
     links = _close_pairs(met.where(F.col("n") <= max_group), max_bits, pivots)
     large = met.where(F.col("n") > max_group).select("fp", "node").distinct()
