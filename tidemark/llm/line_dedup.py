@@ -206,24 +206,24 @@ def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int = RARE_DOC
 def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int = RARE_DOCS) -> DataFrame:
     """``docs`` with the aligned common blocks cut from ``text``, and ``n_lines`` and ``n_deleted``.
 
-    Lines end at ``\\n``; a null text has none and stays null, an empty one has one blank line.
-    Rows without ``doc_id`` stay as they are. Documents are judged on the input, not on what is left.
+    ``n_lines`` and ``n_deleted`` take the place of columns of these names. Lines end at ``\\n``; a null
+    text has none and stays null, an empty one has one blank line. Rows without ``doc_id`` stay as they are. Documents are judged on the input, not on what is left.
     """
-    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    keyed = docs.withColumn("__tidemark_text", F.xxhash64("text"))
     narrow = keyed.select(
-        F.col("doc_id").cast("long"), F.col("_text_hash").alias("text_hash"), F.col("text").cast("string")
+        F.col("doc_id").cast("long"), F.col("__tidemark_text").alias("text_hash"), F.col("text").cast("string")
     )
     found = deletions(narrow, least, rare).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("deleted").alias("_deleted")
+        F.col("doc_id").alias("__tidemark_doc"), F.col("text_hash").alias("__tidemark_hash"), F.col("deleted").alias("__tidemark_deleted")
     )
-    joined = keyed.join(found, (F.col("doc_id") == F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    joined = keyed.join(found, (F.col("doc_id") == F.col("__tidemark_doc")) & (F.col("__tidemark_text") == F.col("__tidemark_hash")), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_deleted", i))
-    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(lines, lambda _, i: ~F.array_contains("__tidemark_deleted", i))
+    text = F.when(F.col("__tidemark_deleted").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.withColumns(
         {
             "text": text,
             "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
-            "n_deleted": F.when(F.col("_deleted").isNull(), 0).otherwise(F.size("_deleted")).cast("long"),
+            "n_deleted": F.when(F.col("__tidemark_deleted").isNull(), 0).otherwise(F.size("__tidemark_deleted")).cast("long"),
         }
     ).select(*(c for c in docs.columns if c not in ("n_lines", "n_deleted")), "n_lines", "n_deleted")
