@@ -8,7 +8,7 @@ documents hold it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,19 @@ def anchors(hashes: np.ndarray, doc: np.ndarray, length: int, width: int) -> np.
     return np.flatnonzero((most == hashes) & (most != 0))
 
 
+def gathered(parts: Iterable[list], size: Callable, least: int = 1 << 19) -> Iterator[list]:
+    """Join lists until their elements have ``least`` rows; more rows decide more on the spot."""
+    held, total = [], 0
+    for part in parts:
+        held += part
+        total += sum(map(size, part))
+        if total >= least:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def first_here(keys: list[np.ndarray], doc_id: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows in the smallest document of their key, whether the key has others, and the rows in others."""
     order = np.lexsort((doc_id, *keys))

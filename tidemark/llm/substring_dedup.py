@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.repeats import anchors, covered, first_here, spans_of, tags, with_places
+from tidemark.llm.repeats import anchors, covered, first_here, gathered, spans_of, tags, with_places
 from tidemark.llm.texts import Rolling, blocks, word_spans
 from tidemark.sources.staging import stage
 
@@ -49,7 +49,7 @@ def _rows(h, g, doc_id, place, size, shared):
 def _sampled(docs: DataFrame, length: int, width: int) -> DataFrame:
     """Anchors of ``width``: those of the smallest document of a batch, and with ``size`` 1 those decided here."""
 
-    def run(batches):
+    def sampled(batches):
         hashing = _Words()
         for batch in batches:
             found = []
@@ -63,8 +63,10 @@ def _sampled(docs: DataFrame, length: int, width: int) -> DataFrame:
                 words = np.bincount(doc, minlength=block.size)
                 position = at - (np.cumsum(words) - words)[owner]
                 found.append((hashes[at].view(np.int64), ids, tags(text) | position))
-            if not found:
-                continue
+            yield found
+
+    def run(batches):
+        for found in gathered(sampled(batches), lambda x: len(x[0])):
             h, ids, place = map(np.concatenate, zip(*found))
             first, shared, later = first_here([h], ids)
             yield _rows(h[first], np.zeros(len(first)), ids[first], place[first], np.zeros(len(first)), shared)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.repeats import POSITION_BITS, anchors, covered, first_here, spans_of, tags, with_places
+from tidemark.llm.repeats import POSITION_BITS, anchors, covered, first_here, gathered, spans_of, tags, with_places
 from tidemark.llm.texts import Rolling, blocks, mixed, sliding
 from tidemark.sources.staging import stage
 
@@ -105,10 +105,8 @@ def _screen(docs: DataFrame, length: int, width: int) -> DataFrame:
 
     def send(batches):
         rolling = Rolling(31)
-        for batch in batches:
-            found = [x for block in blocks(batch) if (x := _strings(block, rolling, length, width))]
-            if not found:
-                continue
+        strings = ([x for block in blocks(batch) if (x := _strings(block, rolling, length, width))] for batch in batches)
+        for found in gathered(strings, lambda x: len(x["h"])):
             rows = {k: np.concatenate([x[k] for x in found]) for k in found[0] if k != "start"}
             first, _, later = first_here([rows["c"], rows["h"]], rows["doc_id"])
             # neighbouring strings decided here travel as one

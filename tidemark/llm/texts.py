@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # Bytes of text handled at once; a longer document forms a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -20,6 +21,18 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _MASK = (1 << 64) - 1
 
 
+# Rows of an Arrow batch. Texts are long: Spark's 10,000 rows would hold 100 MB and more, in the
+# executor and in Python.
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the rows of Arrow batches for this session, unless its configuration names a number."""
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 class Block:
     """Some documents of an Arrow batch: ``data`` holds the bytes, ``offsets`` the borders."""
 
