@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import age_years
 from tidemark.operators import bounce, cdc, dims, logs, orders, stats, visitors
 from tidemark.plans import jobs
-from tidemark.schemas import Topic
+from tidemark.schemas import QUARANTINE_TOPIC, Topic
 from tidemark.sources import sample_tables as sample
-from tidemark.sources.sample_tables import spread, table
+from tidemark.sources.sample_tables import table
 from tidemark.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,7 @@ def outputs(raw: DataFrame, topic: str, schema: str) -> DataFrame:
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.log_records(spread(table(spark, sf_dir, "events")))
+    return sample.log_records(table(spark, sf_dir, "events"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +82,24 @@ def log_split_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("id", "out.item", F.col("out.order").alias("display_order"), "out.page_id")
 
 
+def damaged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.damaged_log_records(table(spark, sf_dir, "events"))
+
+
 def log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = sample.damaged_log_records(spread(table(spark, sf_dir, "events")))
-    return logs.quarantined(logs.parse_log(raw)).select("id")
+    return jobs.log_outputs(damaged_logs(spark, sf_dir)).filter(F.col("topic") == QUARANTINE_TOPIC).select("id")
+
+
+def log_split_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of each log, and what is in the texts sent on; quarantined texts are not read."""
+    sent = jobs.log_outputs(damaged_logs(spark, sf_dir))
+    kept = F.when(F.col("topic") != QUARANTINE_TOPIC, F.col("value"))
+    schema = "common struct<mid:string,is_new:string>, page struct<page_id:string>, page_id string, ts bigint"
+    read = sent.withColumn("out", F.from_json(kept, schema))
+    return read.select(
+        "topic", "id", "out.common.mid", "out.ts", "out.common.is_new",
+        F.coalesce("out.page.page_id", "out.page_id").alias("page_id"), F.col("value").isNotNull().alias("filled"),
+    )
 
 
 def entry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +145,11 @@ def visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.order_records(spread(table(spark, sf_dir, "orders")))
+    return sample.order_records(table(spark, sf_dir, "orders"))
 
 
 def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.detail_records(spread(table(spark, sf_dir, "lineitem")))
+    return sample.detail_records(table(spark, sf_dir, "lineitem"))
 
 
 def wide(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
@@ -267,7 +282,7 @@ def order_wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.order_changes(spread(table(spark, sf_dir, "orders"))).unionByName(
+    return sample.order_changes(table(spark, sf_dir, "orders")).unionByName(
         sample.user_changes(table(spark, sf_dir, "customer"))
     )
 
@@ -297,6 +312,7 @@ BATCH_QUERIES: dict[str, Query] = {
         log_split_page,
         log_split_display,
         log_quarantine,
+        log_split_damaged,
         entry_pages,
         unique_visits,
         bounces_10s,

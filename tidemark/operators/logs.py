@@ -36,6 +36,7 @@ def parse_log(raw: DataFrame) -> DataFrame:
         ts.alias("ts"),
         is_filled_object(F.col("start")).alias("is_start"),
         F.col("page").isNotNull().alias("has_page"),
+        F.lit(True).alias("whole"),
         "displays",
         F.to_date(event_time(ts)).alias("day"),
     )
@@ -48,16 +49,28 @@ def parse_flags(raw: DataFrame) -> DataFrame:
 
 
 def is_usable() -> Column:
-    """A log needs a device and a time, and a page unless it is a start log."""
+    """A log needs a device and a time, and a page unless it is a start log.
+
+    A log whose displays cannot be read (one has a member twice), or whose flag had to be
+    repaired and could not be (``whole``), is not usable either: none of it may get lost.
+    """
     return (
-        F.col("mid").isNotNull()
+        F.col("whole")
+        & _displays_readable()
+        & F.col("mid").isNotNull()
         & F.col("ts").isNotNull()
         & (F.col("is_start") | F.col("has_page"))
     )
 
 
-def usable(logs: DataFrame) -> DataFrame:
-    return logs.filter(is_usable())
+def _displays() -> Column:
+    return F.from_json("displays", "array<variant>")
+
+
+def _displays_readable() -> Column:
+    """True unless ``displays`` begins like an array and is none."""
+    listed = F.coalesce(F.col("displays").startswith("["), F.lit(False))
+    return F.when(listed, _displays().isNotNull()).otherwise(True)
 
 
 def quarantined(logs: DataFrame) -> DataFrame:
@@ -69,18 +82,12 @@ def page_logs(logs: DataFrame) -> DataFrame:
     return logs.filter(is_usable() & ~F.col("is_start"))
 
 
-def start_logs(logs: DataFrame) -> DataFrame:
-    return logs.filter(is_usable() & F.col("is_start"))
-
-
 def display_values() -> Column:
     """The displays of a page log as JSON texts, each with the page id set on it.
 
     Elements that are not objects are no displays.
     """
-    displays = F.transform(
-        F.from_json("displays", "array<variant>"), lambda d: F.try_variant_get(d, "$", OBJECT)
-    )
+    displays = F.transform(_displays(), lambda d: F.try_variant_get(d, "$", OBJECT))
 
     def render(display: Column) -> Column:
         tagged = with_entry(display, "page_id", text_variant(F.col("page_id")))
@@ -90,15 +97,10 @@ def display_values() -> Column:
     return F.coalesce(F.transform(present, render), F.array().cast("array<string>"))
 
 
-def display_logs(logs: DataFrame) -> DataFrame:
-    """One record per display of a page log. Displays on start logs are not emitted."""
-    return page_logs(logs).select("id", F.explode(display_values()).alias("value"))
-
-
 def split_log(logs: DataFrame) -> DataFrame:
     """Fan every log out to records ``(topic, id, value)`` in one pass.
 
-    A start log gives one start record. Any other log gives one page record and one
+    A start log gives one start record and no displays. Any other log gives one page record and one
     display record per display. Unusable logs go to the quarantine topic.
     """
 

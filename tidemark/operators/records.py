@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LONGS = ("bigint", "int")
 
+# A member no record has; it marks the end of a text.
+_END = "_tidemark_end"
+
 
 def parse_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Replace nothing, add the members named by ``schema`` of the JSON object ``value``.
 
-    Text that is not one JSON object gives nulls. The members go through a one-row
-    generator: without it the optimizer copies the parse into every filter it pushes down,
-    and each text is parsed twice or more.
+    Text that is not one JSON object and nothing more gives nulls. The parser itself stops at the
+    end of the object, so the text is read as an array with a mark behind it. The members go
+    through a one-row generator: without it the optimizer copies the parse into every filter
+    it pushes down, and each text is parsed twice or more.
     """
-    return df.select("*", F.inline(F.array(F.from_json(value, schema))))
+    marked = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":1}}]'))
+    read = F.from_json(marked, f"array<struct<{_members(schema)}, {_END}:int>>")
+    alone = F.transform(
+        F.array(read), lambda r: F.when((F.size(r) == 2) & (F.get(r, F.lit(1))[_END] == 1), F.get(r, F.lit(0)))
+    )
+    return df.select("*", F.inline(alone)).drop(_END)
+
+
+def _members(schema: str) -> str:
+    """The fields of a schema in the form of a struct type."""
+    return StructType.fromDDL(schema).simpleString()[len("struct<") : -1]
 
 
 def as_long(text: Column) -> Column:

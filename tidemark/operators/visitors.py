@@ -58,6 +58,7 @@ def repair_new_visitor(
 def apply_first_days(logs: DataFrame, first_days: DataFrame, hot: DataFrame) -> DataFrame:
     """Repair logs by a table of ``(mid, first_day)``, in ``is_new`` and in the text.
 
+    A text that cannot be rewritten is kept as it is and its log is no longer ``whole``.
     ``hot`` holds the devices with many flagged logs, see ``hot_keys``.
     """
     flagged = F.when(F.col("is_new") == NEW, F.col("mid"))
@@ -69,9 +70,12 @@ def apply_first_days(logs: DataFrame, first_days: DataFrame, hot: DataFrame) ->
         spread_by=["id"],
     )
     wrong = F.coalesce(F.col("day") != F.col("first_day"), F.lit(False))
+    # null for a text that does not bear rewriting (a member twice); it stays as it is, and is marked
+    text = F.when(wrong, _with_flag(F.col("value"), OLD)).otherwise(F.col("value"))
     repaired = {
         "is_new": F.when(wrong, F.lit(OLD)).otherwise(F.col("is_new")),
-        "value": F.when(wrong, _with_flag(F.col("value"), OLD)).otherwise(F.col("value")),
+        "value": F.coalesce(text, F.col("value")),
+        "whole": F.col("whole") & text.isNotNull(),
     }
     return joined.withColumns(repaired).select(*logs.columns)
 

@@ -43,12 +43,19 @@ def _measures(jump: str) -> str:
 # Log lines of which some are unusable. A line without its device or time takes no part in
 # the repair of flags.
 VIEWS["damaged"] = """
-        select id, event_type, k, event_type = 'signup' as start,
-          id % 10 not in (0, 1, 2) and (id % 10 <> 3 or event_type = 'signup') as usable,
-          case when is_new = '1' and day <> min(day)
-                 filter (where is_new = '1' and id % 10 not in (0, 1, 2)) over (partition by mid)
-               then '0' else is_new end as is_new
-        from raw"""
+        select * exclude (way, timed, readable, repair, is_new),
+          timed and readable and not (repair and way in (0, 1))
+            and not (way = 2 and event_type = 'click' and k % 3 = 2)
+            and (event_type = 'signup' or (id % 10 <> 3 and way <> 4)) as usable,
+          case when repair then '0' else is_new end as is_new
+        from (
+          select *, event_type = 'signup' as start,
+            is_new = '1' and day <> min(day)
+              filter (where is_new = '1' and timed and readable) over (partition by mid) as repair
+          from (select *, case when id % 10 = 4 then id // 10 % 5 else -1 end as way,
+                  id % 10 not in (0, 1, 2) as timed,
+                  id % 10 <> 4 or id // 10 % 5 <> 3 as readable
+                from raw))"""
 VIEWS["measures10s"] = _measures("jump10s")
 VIEWS["measures6h"] = _measures("jump6h")
 
@@ -160,8 +167,17 @@ QUERIES = {
         from page""",
     "log_split_display": """select id, id::varchar as item, i::varchar as display_order, page_id
         from page cross join (values (0), (1)) t(i) where event_type = 'click' and i < k % 3""",
-    "log_quarantine": """select id from raw
-        where id % 10 in (0, 1, 2) or (id % 10 = 3 and event_type <> 'signup')""",
+    "log_quarantine": "select id from damaged where not usable",
+    "log_split_damaged": """
+        select case when not usable then 'quarantine' when start then 'dwd_start_log'
+            else 'dwd_page_log' end as topic, id,
+          case when usable then mid end as mid, case when usable then ts end as ts,
+          case when usable then is_new end as is_new,
+          case when usable and not start then page_id end as page_id, true as filled
+        from (select *, event_type as page_id from damaged)
+        union all select 'dwd_display_log', id, null, null, null, event_type, true
+          from damaged cross join (values (0), (1)) t(i)
+          where usable and event_type = 'click' and i < k % 3""",
     "entry_pages": "select id, mid, page_id, ts from page where is_entry",
     "unique_visits": "select id, mid, day, is_new, ts from uv",
     "bounces_10s": "select id, mid, is_new, page_id, ts from jump10s",

@@ -15,16 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input over all cores.
-
-    A file of one row group is read by one task. A large input has more tasks than cores
-    already and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def log_records(events: DataFrame) -> DataFrame:
     """``events`` as log lines ``(id, value)``."""
     kind = F.col("event_type")
@@ -81,11 +71,27 @@ def damaged_log_records(events: DataFrame) -> DataFrame:
         .when(turn == 1, F.regexp_replace(value, '"mid":', '"device":'))
         .when(turn == 2, F.regexp_replace(value, '"ts":', '"at":'))
         .when(turn == 3, F.regexp_replace(value, '"page":', '"screen":'))
+        .when(turn == 4, _twisted(value))
         .otherwise(value)
     )
     return logs.withColumn("value", broken)
 
 
+def _twisted(value: Column) -> Column:
+    """Members that come twice, text behind the object, and a page held as text."""
+    way = F.floor(F.col("id") / 10) % 5
+    page = F.regexp_extract(value, r'"page":(\{[^}]*\})', 1)
+    return (
+        F.when(way == 0, F.regexp_replace(value, r"\}$", ',"extra":1,"extra":2}'))
+        .when(way == 1, F.regexp_replace(value, r'"vc":', '"os":"a","os":"b","vc":'))
+        .when(way == 2, F.regexp_replace(value, r'"order":"1"', '"order":"0","order":"1"'))
+        .when(way == 3, F.concat(value, F.lit(" {}")))
+        .otherwise(
+            F.replace(value, page, F.concat(F.lit('"'), F.replace(page, F.lit('"'), F.lit('\\"')), F.lit('"')))
+        )
+    )
+
+
 def _money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)")
 
