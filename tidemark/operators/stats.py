@@ -49,18 +49,26 @@ def union_measures(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def with_watermark(measures: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Add the event time ``et``, on a stream with a watermark.
+
+    Set it on each source before the union. Spark then goes by the slowest source, so windows
+    stay open until visits and bounces, which are known later than their pages, have come too; one
+    watermark over the union would go by the fastest and drop them. A source that falls silent holds
+    all windows open: send it a record of a later time now and then, or leave it out of the union.
+    """
+    timed = measures.withColumn("et", event_time(F.col("ts")))
+    return timed.withWatermark("et", watermark) if measures.isStreaming else timed
+
+
 def visitor_stats(
     measures: DataFrame, window: str = WINDOW, watermark: str = WATERMARK
 ) -> DataFrame:
     """Sums per window and ``(ar, ch, vc, is_new)``.
 
-    On a stream the watermark is set here, on the union. A bounce is known only two bounce
-    spans after its page, so a stream that should count it needs a watermark of at least
-    that plus the slack of its sources; the default is the short one.
+    ``measures`` may have its event time already, see :func:`with_watermark`; a union of streams should.
     """
-    timed = measures.withColumn("et", event_time(F.col("ts")))
-    if measures.isStreaming:
-        timed = timed.withWatermark("et", watermark)
+    timed = measures if "et" in measures.columns else with_watermark(measures, watermark)
     sums = timed.groupBy(F.window("et", window).alias("span"), *DIMENSIONS).agg(
         *[F.sum(m).alias(m) for m in MEASURES]
     )

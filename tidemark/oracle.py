@@ -59,13 +59,6 @@ VIEWS["damaged"] = """
 VIEWS["measures10s"] = _measures("jump10s")
 VIEWS["measures6h"] = _measures("jump6h")
 
-# What a stream has decided when it ends: a bounce when its cell of six hours and the next
-# are over, a day when it is over and three seconds more have passed.
-VIEWS["closed6h"] = """
-        select * from jump6h
-        where (ts // 21600000 + 2) * 21600000 <= (select max(ts) from page)"""
-VIEWS["measures_closed"] = _measures("closed6h")
-
 VIEWS["user_dim"] = """
         select c_custkey::varchar as id,
           strftime(date '1960-01-01' + (c_custkey * 7 % 16000)::int, '%Y-%m-%d') as birthday,
@@ -266,9 +259,8 @@ QUERIES |= {
           where usable and event_type = 'click' and i < k % 3
         union all select 'quarantine', id, null from damaged where not usable""",
     "stream_unique_visits": "select id, mid, is_new, ts from uv",
-    "stream_bounces_6h": "select id, mid, is_new, ts from closed6h",
-    "stream_visitor_stats_1d": _stats("measures_closed", 86_400_000)
-    + " having w + 86400000 <= (select max(ts) - 3000 from page)",
+    "stream_bounces_6h": "select id, mid, is_new, ts from jump6h",
+    "stream_visitor_stats_1d": _stats("measures6h", 86_400_000),
     "stream_order_wide_user": QUERIES["order_wide_user"],
     "stream_cdc_route": """
         select case when source_table = 'user_info' then 'dim_user_info'

@@ -61,6 +61,22 @@ def log_records(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("id"), F.to_json(log).alias("value"))
 
 
+# The device of the closing records, and what stands for its other members.
+CLOSING = "closing"
+
+
+def closing_records(spark: SparkSession, last_ms: int) -> DataFrame:
+    """Two page views of no real device, 10 and 20 days after ``last_ms``, with negative ids.
+
+    At the end of a finite replay they move every watermark past the last real window.
+    """
+    times = spark.createDataFrame([(-1, last_ms + 10 * 86_400_000), (-2, last_ms + 20 * 86_400_000)], "id long, ts long")
+    common = F.struct(*(F.lit(CLOSING).alias(c) for c in ("mid", "ar", "ch", "vc")), F.lit("0").alias("is_new"))
+    page = F.struct(F.lit(CLOSING).alias("page_id"), F.lit(0).alias("during_time"))
+    log = F.struct(common.alias("common"), page.alias("page"), "ts")
+    return times.select("id", F.to_json(log).alias("value"))
+
+
 def damaged_log_records(events: DataFrame) -> DataFrame:
     """Log lines of which some, chosen by id, are cut short or lack a needed member."""
     logs = log_records(events)

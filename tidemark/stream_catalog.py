@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, in_utc
-from tidemark.schemas import QUARANTINE_TOPIC, SinkType, Topic
+from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
 from tidemark.sources.staging import new_path
@@ -23,6 +23,10 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+# Parts a table of events is replayed in, at least.
+STEPS = 4
+
+
 class Replay:
     """Topics and checkpoints of one replay, in a new folder each time."""
 
@@ -46,8 +50,18 @@ class Replay:
         return files.read_topic(self.spark, self.root(job), topic)
 
     def logs(self) -> None:
-        events = stream_table(self.session, self.sf_dir, "events")
-        self.run("logs", jobs.start_logs, sample.log_records(events))
+        """The log job over ``events`` in time order, in ``STEPS`` parts or more micro-batches, and
+        over the closing records."""
+        events = table(self.spark, self.sf_dir, "events").withColumn("at", F.unix_millis(F.col("ts").cast("timestamp")))
+        edges = events.approxQuantile("at", [i / STEPS for i in range(1, STEPS)], 0.05)
+        last = events.agg(F.max("at")).first()[0] or 0
+        for step, (low, high) in enumerate(zip([0, *edges], [*edges, last + 1])):
+            part = events.where((F.col("at") >= low) & (F.col("at") < high))
+            sample.log_records(part).write.parquet(f"{self.root('raw')}/step={step}")
+        closing = sample.closing_records(self.spark, last)
+        closing.coalesce(1).write.parquet(f"{self.root('raw')}/step={STEPS}")
+        reader = self.session.readStream.schema(RECORD).option("maxFilesPerTrigger", 1)
+        self.run("logs", jobs.start_logs, reader.parquet(f"{self.root('raw')}/*"))
 
     def visits(self) -> None:
         self.run("visits", jobs.start_unique_visits, self.stream("logs", Topic.PAGE))
@@ -79,7 +93,8 @@ def stream_log_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(records: DataFrame) -> DataFrame:
-    return jobs.parse_pages(records).select("id", "mid", "is_new", "ts")
+    real = F.col("mid") != sample.CLOSING
+    return jobs.parse_pages(records).where(real).select("id", "mid", "is_new", "ts")
 
 
 def stream_unique_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +105,6 @@ def stream_unique_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bounces_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounces decided by the end of the stream."""
     replay = Replay(spark, sf_dir)
     replay.logs()
     replay.bounces()
@@ -98,7 +112,6 @@ def stream_bounces_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days complete by the end of the stream."""
     replay = Replay(spark, sf_dir)
     replay.logs()
     replay.visits()
@@ -117,7 +130,7 @@ def stream_visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stt string, edt string, vc string, ch string, ar string, is_new string, uv_ct bigint, "
         "pv_ct bigint, sv_ct bigint, uj_ct bigint, dur_sum bigint"
     )
-    return files.read_table(spark, sums, schema)
+    return files.read_table(spark, sums, schema).where(F.col("ar") != sample.CLOSING)
 
 
 def stream_order_wide_user(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,12 +151,13 @@ def visitor_stats(
     window: str = stats.WINDOW,
     watermark: str = stats.WATERMARK,
 ) -> DataFrame:
-    """Windowed visitor statistics of the three topics, under one watermark."""
-    measures = stats.union_measures(
+    """Windowed visitor statistics of the three topics, each with a watermark of its own."""
+    parts = (
         stats.page_measures(parse_pages(page_records)),
         stats.unique_visit_measures(parse_pages(visit_records)),
         stats.bounce_measures(parse_pages(bounce_records)),
     )
+    measures = stats.union_measures(*(stats.with_watermark(part, watermark) for part in parts))
     return stats.visitor_stats(measures, window, watermark)
 
 
