@@ -11,6 +11,7 @@ the corpus.) Decoding joins each id to its piece; the vocabulary bounds that tab
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections import Counter
@@ -49,6 +50,8 @@ class Splitter:
     """The words of a text as the tokenizer's normalizer and splitter make them."""
 
     def __init__(self, path: str):
+        # a task has one core; threads of the library would each keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
