@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import cdc
+from tidemark.operators.cdc import clean_cdc, parse_cdc, route_cdc
 from tidemark.schemas import RECORD, ROUTING
 
 RULES = [
@@ -62,3 +65,17 @@ def test_routing_by_shuffle(spark, rows):
             assert dict(rows(routed.groupBy("sink_table").count())) == {"dwd_order": 60, "dim_user": 1}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_small_rules_are_sent_to_the_changes_which_are_read_once(spark, tmp_path):
+    raw = spark.range(1000).select("id", F.format_string('{"table":"t","type":"insert","data":{"id":%s}}', "id").alias("value"))
+    raw.write.parquet(f"{tmp_path}/raw")
+    rules = spark.createDataFrame([("t", "insert", "kafka", "topic", "id", "id", None)], ROUTING).persist()
+    rules.count()
+    parsed = parse_cdc(spark.read.parquet(f"{tmp_path}/raw"))
+    routed = route_cdc(clean_cdc(parsed), rules, rows_per_task=10)
+    assert routed.count() == 1000
+    plan = routed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("from_json") == 2

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import logs, visitors
+from tidemark.operators.records import parse_json
 from tidemark.operators.skew import hot_keys, salted_join, split_join
 from tidemark.plans import jobs
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, Topic
@@ -127,11 +129,11 @@ def test_salted_join_spreads_a_hot_key(spark, rows):
     table = spark.createDataFrame([("hot", 1), ("4", 2), ("absent", 3)], "k string, v int")
     hot = hot_keys(facts, ["k"], 100)
     assert rows(hot) == [("hot", 10)]
-    joined = salted_join(facts, table, ["k"], "left", hot, ["id"])
+    joined = salted_join(facts, table, ["k"], "left", hot)
     assert joined.columns == ["k", "id", "v"]
     counts = dict(rows(joined.groupBy("v").count()))
     assert counts == {None: 3000 - 1001, 1: 1000, 2: 1}
-    inner = salted_join(facts, table, ["k"], "inner", hot, ["id"])
+    inner = salted_join(facts, table, ["k"], "inner", hot)
     assert inner.count() == 1001
 
 
@@ -148,8 +150,69 @@ def test_split_join_lets_adaptive_execution_split_hot_and_keyless_rows(spark, ro
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
     facts = spark.range(0, 90_000, 1, 12).select("id", key.alias("k"))
     table = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = split_join(facts, table, ["k"], "left", ["id"])
+    joined = split_join(facts, table, ["k"], "left")
     counts = dict(rows(joined.groupBy(F.col("v").isNotNull()).count()))
     assert counts == {True: 30_000 + 33, False: 60_000 - 33}
     joined.collect()
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    """Shuffles into 20 partitions that stay as they are, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rows_by_task(df):
+    return [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_without_a_key_are_dealt_over_all_tasks(spark, fixed_partitions):
+    facts = spark.range(20_000).select("id", F.when(F.col("id") < 0, F.col("id")).alias("k"))
+    table = spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    for joined in (split_join(facts, table, ["k"], "left"), salted_join(facts, table, ["k"], "left", hot_keys(facts, ["k"], 10))):
+        counts = rows_by_task(joined)
+        assert sum(counts) == 20_000
+        assert len(counts) == 20 and max(counts) < 2_000
+
+
+def test_equal_facts_of_a_hot_key_use_all_salts(spark, fixed_partitions):
+    facts = spark.range(1000).select(F.lit("x").alias("k"))
+    table = spark.createDataFrame([("x", 1)], "k string, v int")
+    joined = salted_join(facts, table, ["k"], "left", hot_keys(facts, ["k"], 100))
+    counts = rows_by_task(joined.where("v = 1"))
+    assert sum(counts) == 1000
+    assert max(counts) < 500
+
+
+def test_text_behind_an_object_is_no_record(spark):
+    texts = ['{"a":1}', ' {"a":1} ', '{"a":1} x', '{"a":1}]', '{"a":1}]{}', '{"a":1},{"a":2}', '[{"a":1}]', '{"a":', "", None, "5"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    read = parse_json(df, "a bigint, b struct<c:array<string>>")
+    assert read.columns == ["value", "a", "b"]
+    assert [r.a for r in read.collect()] == [1, 1, *[None] * 9]
+    assert str(read.where("a = 1")._jdf.queryExecution().executedPlan()).count("from_json") == 1
+
+
+def test_logs_that_cannot_be_repaired_or_read_whole_are_quarantined(spark):
+    def log(extra="", displays="", is_new="1", ts=T0):
+        common = f'{{"mid":"m",{extra}"is_new":"{is_new}"}}'
+        return f'{{"common":{common},"page":{{"page_id":"p"}},{displays}"ts":{ts}}}'
+
+    twice = '"os":1,"os":2,'
+    shown = '"displays":[{"item":"1"},{"item":"2","item":"3"}],'
+    values = [log(), log(twice), log(twice, ts=T0 + DAY), log(ts=T0 + DAY), log(displays=shown), log(displays='"displays":"none",')]
+    raw = spark.createDataFrame(list(enumerate(values)), "id bigint, value string")
+    out = sorted((r.id, r.topic, r.value == values[r.id]) for r in jobs.log_outputs(raw).collect())
+    page, bad = "dwd_page_log", "quarantine"
+    assert out == [(0, page, True), (1, page, True), (2, bad, True), (3, page, False), (4, bad, True), (5, page, True)]

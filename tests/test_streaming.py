@@ -193,3 +193,27 @@ def test_changes_without_a_sink_stop_the_query(spark, session, home):
     tables = {"hbase": files.topic_sink(f"{home}/tables")}
     done(jobs.start_changes(stream(session, root, Topic.ODS_DB), rules, sink, f"{home}/check2", tables))
     assert ids(files.read_topic(spark, f"{home}/tables", "dim_t")) == [1]
+
+
+def test_a_lagging_topic_holds_windows_open(spark, session, home):
+    """Visits and bounces come long after their pages, and none is late."""
+    minute = 60_000
+    pages = [(i, log(f"m{i}", "0", T0 + i * minute, page_id="p")) for i in range(40)]
+    roots = {name: f"{home}/{name}" for name in ("page", "visit", "bounce")}
+    for name, topic in (("page", Topic.PAGE), ("visit", Topic.UNIQUE_VISIT), ("bounce", Topic.BOUNCE)):
+        for batch in range(4):
+            feed(spark, roots[name], topic, batch, pages[10 * batch : 10 * batch + 10])
+
+    far = (99, log("end", "0", T0 + DAY, page_id="p"))
+    for name, topic in (("page", Topic.PAGE), ("visit", Topic.UNIQUE_VISIT), ("bounce", Topic.BOUNCE)):
+        feed(spark, roots[name], topic, 4, [far])
+    # pages come four files at a time, the others one
+    sources = [files.stream_topic(session, roots["page"], Topic.PAGE, 4)]
+    sources += [stream(session, roots[n], t) for n, t in (("visit", Topic.UNIQUE_VISIT), ("bounce", Topic.BOUNCE))]
+    query = jobs.start_visitor_stats(*sources, sink=files.table_sink(f"{home}/out"), checkpoint=f"{home}/check", window="1 minute")
+    done(query)
+    dropped = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+    assert dropped == 0
+    out = files.read_table(spark, f"{home}/out", "stt string, uv_ct bigint, pv_ct bigint, uj_ct bigint")
+    sums = out.agg(F.sum("uv_ct"), F.sum("pv_ct"), F.sum("uj_ct"), F.count("*")).first()
+    assert tuple(sums) == (40, 40, 40, 40)

@@ -149,7 +149,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.detail_records(table(spark, sf_dir, "lineitem"))
+    return sample.detail_records(sample.numbered(table(spark, sf_dir, "lineitem")))
 
 
 def wide(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
@@ -216,6 +216,7 @@ def order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample.spus(part),
         sample.trademarks(table(spark, sf_dir, "supplier")),
         sample.categories3(nation),
+        unique=True,
     )
     return filled.select(
         "detail_id", "order_id", "province_name", "province_area_code", "province_iso_code",
@@ -225,7 +226,7 @@ def order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = sample.users(table(spark, sf_dir, "customer"))
+    users = sample.users(table(spark, sf_dir, "customer"), all_of_them=True)
     return users.select("id", age_years(F.col("birthday"), as_of()).alias("age"))
 
 
@@ -257,10 +258,10 @@ def dim_lookup_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial rows of the same lines: each side lacks some lines and some values."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = sample.numbered(table(spark, sf_dir, "lineitem"))
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     one = lines.filter("l_linenumber <> 5").select(
-        sample.detail_id().alias("detail_id"),
+        "detail_id",
         F.col("l_orderkey").alias("order_id"),
         F.when(F.col("l_linenumber") % 2 == 0, price).alias("order_price"),
         F.lit(None).cast("string").alias("order_status"),
@@ -268,7 +269,7 @@ def order_wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 1, price).alias("split_total_amount"),
     )
     other = lines.filter("l_linenumber <> 3").select(
-        sample.detail_id().alias("detail_id"),
+        "detail_id",
         (F.col("l_orderkey") + 1).alias("order_id"),
         F.col("l_quantity").cast("decimal(18,2)").alias("order_price"),
         F.col("l_linestatus").alias("order_status"),
@@ -278,6 +279,13 @@ def order_wide_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.merge_order_wide(one, other)
 
 
+def order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad_orders = orders.unusable(sample.damaged_records(order_records(spark, sf_dir)), "order")
+    bad_details = orders.unusable(sample.damaged_records(detail_records(spark, sf_dir)), "detail")
+    kind = lambda df, name: df.select(F.lit(name).alias("kind"), "id")
+    return kind(bad_orders, "order").unionByName(kind(bad_details, "detail"))
+
+
 # Change records
 
 
@@ -292,6 +300,11 @@ def cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(F.col("table").alias("source_table"), "type", "id")
 
 
+def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = cdc.quarantined_cdc(cdc.parse_cdc(sample.damaged_changes(changes(spark, sf_dir))))
+    return bad.select("id")
+
+
 def cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = jobs.routed_changes(changes(spark, sf_dir), sample.routing_rules(spark))
     schema = (
@@ -333,7 +346,9 @@ BATCH_QUERIES: dict[str, Query] = {
         dim_lookup_id,
         dim_lookup_composite,
         order_wide_merge,
+        order_quarantine,
         cdc_clean,
+        cdc_quarantine,
         cdc_route,
     )
 }

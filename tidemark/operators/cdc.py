@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.records import json_null_free, parse_json
 from tidemark.operators.skew import hot_keys, join_table
+from tidemark.schemas import QUARANTINE_TOPIC
 
 OBJECT = "map<string,variant>"
 
@@ -20,7 +21,18 @@ def parse_cdc(raw: DataFrame) -> DataFrame:
     ``data`` may be an object, or a text holding one.
     """
     parsed = parse_json(raw.select("id", "value"), CHANGE)
-    return parsed.withColumn("data", F.from_json("data", OBJECT))
+    # behind a generator too, else the filters parse the data again
+    data = F.inline(F.array(F.struct(F.from_json("data", OBJECT).alias("data"))))
+    return parsed.select(*(c for c in parsed.columns if c != "data"), data)
+
+
+def quarantined_cdc(changes: DataFrame) -> DataFrame:
+    """The texts ``(topic, id, value)`` that are no change records at all.
+
+    A record without table or data is left out by :func:`clean_cdc` on purpose and is none of these.
+    """
+    nothing = F.col("table").isNull() & F.col("type").isNull() & F.col("data").isNull()
+    return changes.filter(nothing).select(F.lit(QUARANTINE_TOPIC).alias("topic"), "id", "value")
 
 
 def clean_cdc(changes: DataFrame) -> DataFrame:
@@ -50,7 +62,7 @@ def route_cdc(
     )
     on = ["table", "type"]
     hot = None if rows_per_task is None else hot_keys(changes, on, rows_per_task)
-    joined = join_table(changes, table, on, "inner", hot, spread_by=["id"])
+    joined = join_table(changes, table, on, "inner", hot)
     kept = F.map_filter(
         json_null_free(F.col("data")),
         lambda k, v: F.col("_wanted").isNull() | F.array_contains(F.col("_wanted"), k),

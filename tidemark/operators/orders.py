@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import age_years, event_time, first_non_null, second_millis
 from tidemark.operators.dims import Dimension, enrich
 from tidemark.operators.records import parse_fields
-from tidemark.schemas import DETAIL_FIELDS, ORDER_FIELDS, ORDER_WIDE_FIELDS
+from tidemark.schemas import DETAIL_FIELDS, ORDER_FIELDS, ORDER_WIDE_FIELDS, QUARANTINE_TOPIC
 
 LOWER_MS = -5
 UPPER_MS = 5
 WATERMARK = "3 seconds"
 
-# Columns a wide row takes from its order and from its detail: wide column -> source column.
+# Columns a wide row takes from its order and from its detail: wide column -> source column.
 FROM_ORDER = {
     "order_id": "id",
     "order_status": "order_status",
@@ -84,6 +84,20 @@ def parse_details(raw: DataFrame) -> DataFrame:
     return details.withColumn("create_ts", second_millis(F.col("create_time")))
 
 
+def unusable(raw: DataFrame, kind: str) -> DataFrame:
+    """The records ``(topic, id, value)`` that no order or detail can be made of, for quarantine.
+
+    ``kind`` is ``order`` or ``detail``. An order needs its id, a detail its order's, and both a
+    ``create_time`` in seconds; the join leaves out all others.
+    """
+    parse, key = {"order": (ORDER_FIELDS, "id"), "detail": (DETAIL_FIELDS, "order_id")}[kind]
+    needed = {key: parse[key], "create_time": parse["create_time"]}
+    renamed = raw.select(F.col("id").alias("record_id"), "value")
+    read = parse_fields(renamed, needed)
+    bad = F.col(key).isNull() | second_millis(F.col("create_time")).isNull()
+    return read.filter(bad).select(F.lit(QUARANTINE_TOPIC).alias("topic"), F.col("record_id").alias("id"), "value")
+
+
 def interval_join(
     orders: DataFrame,
     details: DataFrame,
@@ -167,7 +181,12 @@ def with_user(
     )
 
 
-def with_province(wide: DataFrame, provinces: DataFrame | Dimension) -> DataFrame:
+def with_province(
+    wide: DataFrame,
+    provinces: DataFrame | Dimension,
+    unique: bool = False,
+    rows_per_task: int | None = None,
+) -> DataFrame:
     return enrich(
         wide,
         provinces,
@@ -178,6 +197,8 @@ def with_province(wide: DataFrame, provinces: DataFrame | Dimension) -> DataFram
             "province_iso_code": "iso_code",
             "province_3166_2_code": "iso_3166_2",
         },
+        unique=unique,
+        rows_per_task=rows_per_task,
     )
 
 
@@ -202,6 +223,33 @@ def with_category3(wide: DataFrame, categories: DataFrame | Dimension) -> DataFr
     return enrich(wide, categories, on={"category3_id": "id"}, columns={"category3_name": "name"})
 
 
+def sku_details(
+    skus: DataFrame | Dimension,
+    spus: DataFrame | Dimension,
+    trademarks: DataFrame | Dimension,
+    categories3: DataFrame | Dimension,
+    unique: bool = False,
+) -> DataFrame:
+    """The sku dimension with the names of its spu, trademark and category, joined on the small side."""
+    base = skus.frame() if isinstance(skus, Dimension) else skus
+    names = {c: F.lit(None).cast("string") for c in ("spu_name", "tm_name", "category3_name")}
+    table = base.select("id", "spu_id", "tm_id", "category3_id").withColumns(names)
+    table = enrich(table, spus, {"spu_id": "id"}, {"spu_name": "spu_name"}, unique=unique)
+    table = enrich(table, trademarks, {"tm_id": "id"}, {"tm_name": "tm_name"}, unique=unique)
+    return enrich(table, categories3, {"category3_id": "id"}, {"category3_name": "name"}, unique=unique)
+
+
+SKU_COLUMNS = ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]
+
+
+def with_sku_details(
+    wide: DataFrame, details: DataFrame, unique: bool = False, rows_per_task: int | None = None
+) -> DataFrame:
+    """Fill all columns that hang on the sku by one lookup, see :func:`sku_details`."""
+    columns = {c: c for c in SKU_COLUMNS}
+    return enrich(wide, details, {"sku_id": "id"}, columns, unique=unique, rows_per_task=rows_per_task)
+
+
 def merge_order_wide(one: DataFrame, other: DataFrame) -> DataFrame:
     """Merge partial wide rows of the same detail: first non-null value of the ``MERGED`` columns.
 

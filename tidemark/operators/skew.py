@@ -51,7 +51,6 @@ def join_table(
     on: list[str],
     how: str = "left",
     hot: DataFrame | None = None,
-    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join facts to a table holding at most one row per key of ``on``.
 
@@ -59,53 +58,41 @@ def join_table(
     to the facts. A larger one is joined by a shuffle in which no key is too much for a
     task: with ``hot`` (see :func:`hot_keys`) by salting, otherwise by adaptive execution,
     which splits oversized partitions of the facts. Facts with a null key are spread over
-    all tasks. ``spread_by`` names fact columns that tell the rows of a key apart. Facts
-    that are a stream are joined as they come: what a task gets is bounded by the
+    all tasks. Facts that are a stream are joined as they come: what a task gets is bounded by the
     micro-batch.
     """
     if facts.isStreaming or fits_broadcast(table):
         return facts.join(table, on, how)
     if hot is not None:
-        return salted_join(facts, table, on, how, hot, spread_by)
-    return split_join(facts, table, on, how, spread_by)
+        return salted_join(facts, table, on, how, hot)
+    return split_join(facts, table, on, how)
 
 
-def salted_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    how: str,
-    hot: DataFrame,
-    spread_by: list[str] | None = None,
-) -> DataFrame:
+def salted_join(facts: DataFrame, table: DataFrame, on: list[str], how: str, hot: DataFrame) -> DataFrame:
     """Shuffle join with the facts of a hot key spread over its salts.
 
-    The table row of a hot key is repeated once per salt, all others stay single.
+    The table row of a hot key is repeated once per salt, all others stay single. The hot keys
+    are written out; the optimizer sends them to the facts when their size allows it.
     """
-    hot = F.broadcast(hot)  # at most rows / rows_per_task keys
+    hot = stage(hot, "hot-keys")
     salts = F.when(_keyless(on), F.lit(UNKEYED_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salt = F.pmod(_content(facts, on, spread_by), salts).cast("int")
-    left = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    left = facts.join(hot, on, "left").withColumn("_salt", F.pmod(_row_hash(), salts).cast("int")).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def split_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    how: str,
-    spread_by: list[str] | None = None,
-) -> DataFrame:
+def split_join(facts: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
     """Shuffle join that adaptive execution can split.
 
     It splits a partition of the facts only when both sides come straight from a shuffle,
     so a table that is the result of grouping or ranking is written out first.
     """
-    unkeyed = F.pmod(_content(facts, on, spread_by), F.lit(UNKEYED_SALTS)).cast("int")
+    unkeyed = F.pmod(_row_hash(), F.lit(UNKEYED_SALTS)).cast("int")
     left = facts.withColumn("_salt", F.when(_keyless(on), unkeyed).otherwise(F.lit(0)))
-    right = stage(table, "lookup").withColumn("_salt", F.lit(0))
+    # always 0, but no constant: a constant would drop out of the join keys, and the salts with it
+    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    right = stage(table, "lookup").withColumn("_salt", zero)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -116,12 +103,6 @@ def _keyless(on: list[str]) -> Column:
     return missing
 
 
-def _content(facts: DataFrame, on: list[str], spread_by: list[str] | None) -> Column:
-    """A hash telling the rows of a key apart; always the same for a row, also when retried."""
-    plain = ("string", "bigint", "int", "double", "float", "date", "timestamp", "boolean")
-    names = spread_by or [
-        name
-        for name, kind in facts.dtypes
-        if name not in on and (kind in plain or kind.startswith("decimal"))
-    ]
-    return F.xxhash64(*names) if names else F.lit(0).cast("bigint")
+def _row_hash() -> Column:
+    """A hash of the place of a row in its input, which tells equal rows apart too."""
+    return F.xxhash64(F.monotonically_increasing_id())

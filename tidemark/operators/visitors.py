@@ -67,7 +67,6 @@ def apply_first_days(logs: DataFrame, first_days: DataFrame, hot: DataFrame) ->
         first_days.select(F.col("mid").alias("_flagged"), "first_day"),
         ["_flagged"],
         hot=hot.withColumnRenamed("mid", "_flagged"),
-        spread_by=["id"],
     )
     wrong = F.coalesce(F.col("day") != F.col("first_day"), F.lit(False))
     # null for a text that does not bear rewriting (a member twice); it stays as it is, and is marked

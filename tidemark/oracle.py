@@ -64,6 +64,11 @@ VIEWS["user_dim"] = """
           strftime(date '1960-01-01' + (c_custkey * 7 % 16000)::int, '%Y-%m-%d') as birthday,
           c_mktsegment as gender
         from customer where c_custkey % 10 <> 0"""
+VIEWS["numbered"] = """
+        select *, l_orderkey * 1000000 + row_number() over (partition by l_orderkey order by
+          l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+          l_returnflag, l_linestatus, l_shipdate) as detail_id
+        from lineitem"""
 VIEWS["ord"] = """
         select o_orderkey as id, o_custkey % 25 as province_id, o_orderstatus as order_status,
           o_custkey as user_id, o_totalprice::decimal(18, 2) as total_amount,
@@ -73,14 +78,14 @@ VIEWS["ord"] = """
           epoch_us(o_orderdate) // 1000000 * 1000 as create_ts
         from orders"""
 VIEWS["det"] = """
-        select (l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey as id,
+        select detail_id as id,
           l_orderkey as order_id, l_partkey as sku_id,
           l_extendedprice::decimal(18, 2) as order_price, l_quantity::bigint as sku_num,
           'sku_' || l_partkey as sku_name,
           strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as create_time,
           l_extendedprice::decimal(18, 2) as split_total_amount,
           epoch_us(l_shipdate) // 1000000 * 1000 as create_ts
-        from lineitem"""
+        from numbered"""
 
 
 def _pairs(millis: int) -> str:
@@ -202,7 +207,10 @@ QUERIES = {
         left join part p on p.p_partkey = w.sku_id and p.p_partkey % 7 <> 0
         left join supplier s on s.s_suppkey = p.p_partkey % 10
         left join nation c on c.n_nationkey = p.p_size""",
-    "user_age": f"select id, {AGE} as age from user_dim",
+    "user_age": f"""select id, {AGE} as age from (
+          select c_custkey::varchar as id,
+            strftime(date '1960-01-01' + (c_custkey * 7 % 16000)::int, '%Y-%m-%d') as birthday
+          from customer)""",
     "dim_lookup_id": """select o_orderkey, o_custkey, birthday, gender
         from orders left join user_dim on id = o_custkey::varchar""",
     "dim_lookup_composite": """
@@ -220,20 +228,23 @@ QUERIES = {
           coalesce(a.order_price, b.order_price) as order_price, b.order_status,
           coalesce(a.sku_id, b.sku_id) as sku_id,
           coalesce(a.split_total_amount, b.split_total_amount) as split_total_amount
-        from (select (l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey as detail_id,
+        from (select detail_id,
                 true as found, l_orderkey as order_id,
                 case when l_linenumber % 2 = 0
                   then l_extendedprice::decimal(18, 2) end as order_price,
                 l_partkey as sku_id,
                 case when l_linenumber = 1
                   then l_extendedprice::decimal(18, 2) end as split_total_amount
-              from lineitem where l_linenumber <> 5) a
-        full join (select (l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey as detail_id,
+              from numbered where l_linenumber <> 5) a
+        full join (select detail_id,
                 l_orderkey + 1 as order_id, l_quantity::decimal(18, 2) as order_price,
                 l_linestatus as order_status, l_partkey + 1 as sku_id,
                 l_extendedprice::decimal(18, 2) as split_total_amount
-              from lineitem where l_linenumber <> 3) b
+              from numbered where l_linenumber <> 3) b
           on a.detail_id = b.detail_id""",
+    "order_quarantine": """select 'order' as kind, id from ord where id % 7 in (0, 1, 2)
+        union all select 'detail', id from det where id % 7 in (0, 1, 3)""",
+    "cdc_quarantine": f"select id from ({CHANGES}) where id % 13 in (0, 1)",
     "cdc_clean": "select source_table, type, id from change",
     "cdc_route": """
         select case when source_table = 'user_info' then 'hbase' else 'kafka' end as sink_type,
@@ -262,6 +273,17 @@ QUERIES |= {
     "stream_bounces_6h": "select id, mid, is_new, ts from jump6h",
     "stream_visitor_stats_1d": _stats("measures6h", 86_400_000),
     "stream_order_wide_user": QUERIES["order_wide_user"],
+    "stream_order_wide_dims": f"""
+        select detail_id, order_id, {AGE} as user_age, n.n_name as province_name,
+          p.p_name as spu_name, s.s_name as tm_name, c.n_name as category3_name
+        from (select * exclude (user_age) from wide5d) w
+        left join user_dim u on u.id = w.user_id::varchar
+        left join nation n on n.n_nationkey = w.province_id
+        left join part p on p.p_partkey = w.sku_id and p.p_partkey % 7 <> 0
+        left join supplier s on s.s_suppkey = p.p_partkey % 10
+        left join nation c on c.n_nationkey = p.p_size""",
+    "stream_order_quarantine": QUERIES["order_quarantine"],
+    "stream_cdc_quarantine": QUERIES["cdc_quarantine"],
     "stream_cdc_route": """
         select case when source_table = 'user_info' then 'dim_user_info'
                when type = 'insert' then 'dwd_order_info'

@@ -76,13 +76,17 @@ def order_wide_dims(
     spus: DataFrame | Dimension,
     trademarks: DataFrame | Dimension,
     categories3: DataFrame | Dimension,
+    unique: bool = False,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Fill the remaining dimension columns of wide rows."""
-    located = orders.with_province(wide, provinces)
-    described = orders.with_sku(located, skus)
-    named = orders.with_spu(described, spus)
-    branded = orders.with_trademark(named, trademarks)
-    return orders.with_category3(branded, categories3)
+    """Fill the remaining dimension columns of wide rows by two lookups.
+
+    Spu, trademark and category hang on the sku and are joined to it first, so the wide rows
+    themselves are shuffled twice at most. ``unique`` says that no dimension has a key twice.
+    """
+    located = orders.with_province(wide, provinces, unique, rows_per_task)
+    details = orders.sku_details(skus, spus, trademarks, categories3, unique)
+    return orders.with_sku_details(located, details, unique, rows_per_task)
 
 
 def routed_changes(raw: DataFrame, rules: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ Each one is a projection of one table (no shuffle), so the records grow with the
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import second_text
@@ -125,16 +126,20 @@ def order_records(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("id"), F.to_json(order).alias("value"))
 
 
-def detail_id() -> Column:
-    """An id computed from the line itself, so no ordering of the whole table is needed."""
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return line * 100_000_000 + F.col("l_partkey")
+def numbered(lineitem: DataFrame) -> DataFrame:
+    """Lines with a ``detail_id``: their number within the order, below the number of the order.
+
+    Unique for up to a million lines an order, and fits a long for 9e12 orders.
+    """
+    lines = W.partitionBy("l_orderkey").orderBy(*(c for c in lineitem.columns if c != "l_orderkey"))
+    number = F.row_number().over(lines).cast("bigint")
+    return lineitem.withColumn("detail_id", F.col("l_orderkey") * 1_000_000 + number)
 
 
-def detail_records(lineitem: DataFrame) -> DataFrame:
-    """``lineitem`` as order detail records ``(id, value)``."""
+def detail_records(lines: DataFrame) -> DataFrame:
+    """Numbered lines as order detail records ``(id, value)``."""
     detail = F.struct(
-        detail_id().alias("id"),
+        F.col("detail_id").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         _money("l_extendedprice").alias("order_price"),
@@ -143,13 +148,35 @@ def detail_records(lineitem: DataFrame) -> DataFrame:
         second_text(F.col("l_shipdate").cast("timestamp")).alias("create_time"),
         _money("l_extendedprice").alias("split_total_amount"),
     )
-    return lineitem.select(detail_id().alias("id"), F.to_json(detail).alias("value"))
+    return lines.select(F.col("detail_id").alias("id"), F.to_json(detail).alias("value"))
+
+
+def damaged_records(records: DataFrame) -> DataFrame:
+    """Records of which some, chosen by id, are cut short, have no id or no time of day."""
+    turn = F.col("id") % 7
+    value = F.col("value")
+    broken = (
+        F.when(turn == 0, F.expr("left(value, length(value) div 2)"))
+        .when(turn == 1, F.regexp_replace(value, r'("create_time":"[0-9-]+) [0-9:]+"', '$1"'))
+        .when(turn == 2, F.regexp_replace(value, r'^\{"id":', '{"number":'))
+        .when(turn == 3, F.regexp_replace(value, r'"order_id":', '"of":'))
+        .otherwise(value)
+    )
+    return records.withColumn("value", broken)
+
+
+def damaged_changes(changes: DataFrame) -> DataFrame:
+    """Change records of which every thirteenth is cut short and every other thirteenth is no object."""
+    turn = F.col("id") % 13
+    short = F.expr("left(value, length(value) div 2)")
+    return changes.withColumn("value", F.when(turn == 0, short).when(turn == 1, "[]").otherwise(F.col("value")))
 
 
-def users(customer: DataFrame) -> DataFrame:
-    """``customer`` as the user dimension; every tenth customer is missing from it."""
+def users(customer: DataFrame, all_of_them: bool = False) -> DataFrame:
+    """``customer`` as the user dimension; every tenth customer is missing unless all are asked for."""
+    known = F.lit(all_of_them) | (F.col("c_custkey") % 10 != 0)
     born = F.date_add(F.lit("1960-01-01").cast("date"), ((F.col("c_custkey") * 7) % 16000).cast("int"))
-    return customer.filter(F.col("c_custkey") % 10 != 0).select(
+    return customer.filter(known).select(
         F.col("c_custkey").cast("string").alias("id"),
         F.date_format(born, "yyyy-MM-dd").alias("birthday"),
         F.col("c_mktsegment").alias("gender"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, in_utc
+from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
@@ -63,6 +64,12 @@ class Replay:
         reader = self.session.readStream.schema(RECORD).option("maxFilesPerTrigger", 1)
         self.run("logs", jobs.start_logs, reader.parquet(f"{self.root('raw')}/*"))
 
+    def details(self) -> DataFrame:
+        """``lineitem``, numbered as a table, as a stream of detail records."""
+        lines = sample.numbered(table(self.spark, self.sf_dir, "lineitem"))
+        sample.detail_records(lines).write.parquet(f"{self.root('details')}/part")
+        return self.session.readStream.schema(RECORD).parquet(f"{self.root('details')}/*")
+
     def visits(self) -> None:
         self.run("visits", jobs.start_unique_visits, self.stream("logs", Topic.PAGE))
 
@@ -139,7 +146,7 @@ def stream_order_wide_user(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wide",
         jobs.start_order_wide,
         sample.order_records(stream_table(replay.session, sf_dir, "orders")),
-        sample.detail_records(stream_table(replay.session, sf_dir, "lineitem")),
+        replay.details(),
         users=sample.users(table(spark, sf_dir, "customer")),
         as_of=as_of(),
         lower_ms=-5 * DAY_MS,
@@ -153,6 +160,53 @@ def stream_order_wide_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrived.select(F.from_json("value", schema).alias("row")).select("row.*")
 
 
+def stream_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replay = Replay(spark, sf_dir)
+    part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
+    tables = (
+        sample.provinces(nation),
+        sample.skus(part),
+        sample.spus(part),
+        sample.trademarks(table(spark, sf_dir, "supplier")),
+        sample.categories3(nation),
+    )
+    replay.run(
+        "wide",
+        jobs.start_order_wide,
+        sample.order_records(stream_table(replay.session, sf_dir, "orders")),
+        replay.details(),
+        users=sample.users(table(spark, sf_dir, "customer")),
+        as_of=as_of(),
+        lower_ms=-5 * DAY_MS,
+        upper_ms=5 * DAY_MS,
+        more=lambda wide: order_wide_dims(wide, *tables, unique=True),
+    )
+    names = ("province_name", "spu_name", "tm_name", "category3_name")
+    schema = "detail_id bigint, order_id bigint, user_age int, " + ", ".join(f"{n} string" for n in names)
+    arrived = replay.arrived("wide", Topic.ORDER_WIDE)
+    return arrived.select(F.from_json("value", schema).alias("row")).select("row.*")
+
+
+def stream_order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replay = Replay(spark, sf_dir)
+    order_records = sample.order_records(stream_table(replay.session, sf_dir, "orders"))
+    parts = []
+    for kind, records in (("order", order_records), ("detail", replay.details())):
+        replay.run(kind, jobs.start_quarantine, sample.damaged_records(records), kind=kind)
+        arrived = replay.arrived(kind, QUARANTINE_TOPIC)
+        parts.append(arrived.select(F.lit(kind).alias("kind"), "id"))
+    return parts[0].unionByName(parts[1])
+
+
+def stream_cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replay = Replay(spark, sf_dir)
+    raw = sample.order_changes(stream_table(replay.session, sf_dir, "orders")).unionByName(
+        sample.user_changes(stream_table(replay.session, sf_dir, "customer"))
+    )
+    replay.run("changes", _start_changes(replay), sample.damaged_changes(raw), rules=sample.routing_rules(spark))
+    return replay.arrived("changes", QUARANTINE_TOPIC).select("id")
+
+
 def stream_cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
     raw = sample.order_changes(stream_table(replay.session, sf_dir, "orders")).unionByName(
@@ -183,6 +237,9 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_bounces_6h,
         stream_visitor_stats_1d,
         stream_order_wide_user,
+        stream_order_wide_dims,
+        stream_order_quarantine,
         stream_cdc_route,
+        stream_cdc_quarantine,
     )
 }

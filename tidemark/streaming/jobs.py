@@ -188,9 +188,15 @@ def start_order_wide(
     lower_ms: int = orders.LOWER_MS,
     upper_ms: int = orders.UPPER_MS,
     watermark: str = orders.WATERMARK,
+    more: Callable[[DataFrame], DataFrame] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Join order and detail topics and add the user dimension, as fresh as it asks to be."""
+    """Join order and detail topics and add the user dimension, as fresh as it asks to be.
+
+    ``more`` adds further dimensions to the wide rows of a micro-batch, such as
+    ``plans.jobs.order_wide_dims``. Records that cannot be read or have no time are left out here; run
+    :func:`start_quarantine` over the same topics to keep them.
+    """
     pairs = orders.interval_join(
         orders.parse_orders(order_records),
         orders.parse_details(detail_records),
@@ -203,6 +209,7 @@ def start_order_wide(
         wide = wide.persist()  # a large dimension makes the join count the rows first
         try:
             filled = orders.with_user(wide, users, as_of, rows_per_task=ROWS_PER_TASK)
+            filled = more(filled) if more else filled
             to_topic(sink, Topic.ORDER_WIDE)(orders.order_wide_values(filled), batch_id)
         finally:
             wide.unpersist()
@@ -210,6 +217,13 @@ def start_order_wide(
     return start(orders.order_wide(pairs), batch, checkpoint, **options)
 
 
+def start_quarantine(
+    records: DataFrame, kind: str, sink: Sink, checkpoint: str, **options
+) -> StreamingQuery:
+    """Send the order or detail records that the order job leaves out to the quarantine topic."""
+    return start(orders.unusable(records, kind), sink, checkpoint, **options)
+
+
 # Change record job
 
 
@@ -224,20 +238,30 @@ def start_changes(
     """Clean change records and route them: facts to topics, others to the sink of their kind.
 
     ``table_sinks`` maps a sink kind of the rules to a sink for ``(topic, id, key, value)``.
-    Rules naming a kind without a sink stop the query rather than lose changes.
+    Rules naming a kind without a sink stop the query rather than lose changes. Texts that are no
+    change records go to the quarantine topic of ``fact_sink``. A micro-batch is read and parsed once.
     """
+    if not isinstance(rules, Dimension):
+        # cached and counted: only then is their size known, and they are sent to the changes
+        rules = rules.persist()
+        rules.count()
     sinks = {SinkType.KAFKA: fact_sink, **(table_sinks or {})}
 
-    def batch(cleaned: DataFrame, batch_id: int) -> None:
+    def batch(changes: DataFrame, batch_id: int) -> None:
         table = rules.frame() if isinstance(rules, Dimension) else rules
         kinds = {row[0] for row in table.select("sink_type").distinct().collect()}
         if kinds - sinks.keys():
             raise ValueError(f"no sink for {sorted(kinds - sinks.keys())}")
-        routed = cdc.route_cdc(cleaned, table, rows_per_task=ROWS_PER_TASK).persist()
+        changes = changes.persist()
         try:
+            routed = cdc.route_cdc(cdc.clean_cdc(changes), table, rows_per_task=ROWS_PER_TASK)
             for kind, sink in sinks.items():
-                sink(jobs.change_records(routed, kind), batch_id)
+                records = jobs.change_records(routed, kind)
+                if kind == SinkType.KAFKA:
+                    bad = cdc.quarantined_cdc(changes).withColumn("key", F.lit(None).cast("string"))
+                    records = records.unionByName(bad)
+                sink(records, batch_id)
         finally:
-            routed.unpersist()
+            changes.unpersist()
 
-    return start(cdc.clean_cdc(cdc.parse_cdc(raw)), batch, checkpoint, **options)
+    return start(cdc.parse_cdc(raw), batch, checkpoint, **options)
