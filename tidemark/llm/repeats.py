@@ -41,7 +41,7 @@ def anchors(hashes: np.ndarray, doc: np.ndarray, length: int, width: int) -> np.
     return np.flatnonzero((most == hashes) & (most != 0))
 
 
-def gathered(parts: Iterable[list], size: Callable, least: int = 1 << 19) -> Iterator[list]:
+def gathered(parts: Iterable[list], size: Callable, least: int = 1 << 18) -> Iterator[list]:
     """Join lists until their elements have ``least`` rows; more rows decide more on the spot."""
     held, total = [], 0
     for part in parts:

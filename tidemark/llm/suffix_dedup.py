@@ -144,11 +144,19 @@ def _screen(docs: DataFrame, length: int, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(packs, pa.binary())], ["bucket", "pack"])
 
     def decide(batches):
-        found = [_unpack(blob) for batch in batches for blob in batch.column(1).to_pylist()]
-        if not found:
-            return
+        held, at = [], None
+        for batch in batches:
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if held and bucket != at:
+                    yield decided_bucket(held)
+                    held = []
+                held.append(_unpack(blob.as_py()))
+                at = bucket
+        if held:
+            yield decided_bucket(held)
+
+    def decided_bucket(found):
         rows = {k: np.concatenate([x[k] for x in found]) for k in found[0]}
-        del found
         note, decided = rows["flag"] == _NOTE, rows["flag"] == _DECIDED
         real = ~note & ~decided
         order = np.flatnonzero(real)
@@ -167,9 +175,9 @@ def _screen(docs: DataFrame, length: int, width: int) -> DataFrame:
             pa.array(rows["doc_id"][at]), pa.array(place), pa.array(rows["size"][at].astype(np.int32)),
             pa.array(rows["h"][at].view(np.int64), mask=~open_),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "size", "key"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "size", "key"])
 
-    sent = docs.mapInArrow(send, "bucket int, pack binary").repartition(parts, "bucket")
+    sent = docs.mapInArrow(send, "bucket int, pack binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(decide, "doc_id long, place long, size int, key long")
 
 
@@ -178,9 +186,14 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
 
     ``ends`` is the end of the string of each byte; a suffix that ends early ranks before its extensions.
     """
-    rank = data.astype(np.int64) + 1
-    have = 1
     here = np.arange(len(data))
+    # the first seven bytes are ranked at once, nine bits each, 0 behind the end
+    have = min(7, length)
+    codes = data.astype(np.int64) + 1
+    rank = np.zeros(len(data), np.int64)
+    for step in range(have):
+        rank = (rank << 9) | np.where(here + step < ends, np.append(codes[step:], codes[:step]), 0)
+    rank = np.unique(rank, return_inverse=True)[1] + 1
     while have < length:
         step = min(have, length - have)
         after = np.where(here + step < ends, np.append(rank[step:], np.zeros(step, np.int64)), 0)
