@@ -236,6 +236,34 @@ def dim_lookup_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.get_dim(facts, users, "o_custkey", {"birthday": "birthday", "gender": "gender"})
 
 
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.users(table(spark, sf_dir, "customer"))
+
+
+def dim_lookup_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup in a dimension that is read once and kept."""
+    users = dims.Dimension(lambda: _users(spark, sf_dir), refresh="cached", ttl_seconds=60)
+    facts = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return dims.get_dim(facts, users, "o_custkey", {"birthday": "birthday", "gender": "gender"})
+
+
+def dim_lookup_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup in the newest state of a dimension that is kept as a topic of its changes."""
+    rows = dim_latest(spark, sf_dir)
+    users = dims.Dimension(lambda: rows.withColumnRenamed("user_id", "id"), refresh="batch")
+    facts = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return dims.get_dim(facts, users, "o_custkey", {"gender": "gender"})
+
+
+def dim_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = sample.user_changes(table(spark, sf_dir, "customer")).unionByName(
+        sample.later_user_changes(table(spark, sf_dir, "orders"))
+    )
+    newest = cdc.latest_rows(jobs.routed_changes(raw, sample.routing_rules(spark)))
+    gender = F.get_json_object("value", "$.gender")
+    return newest.select(F.col("key").alias("user_id"), F.col("id").alias("change_id"), gender.alias("gender"))
+
+
 def dim_lookup_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several customers share a nation and segment; the one with the lowest key counts."""
     segment = F.element_at(
@@ -344,6 +372,9 @@ BATCH_QUERIES: dict[str, Query] = {
         order_wide_dims,
         user_age,
         dim_lookup_id,
+        dim_lookup_cached,
+        dim_lookup_fresh,
+        dim_latest,
         dim_lookup_composite,
         order_wide_merge,
         order_quarantine,

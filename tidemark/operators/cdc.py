@@ -26,6 +26,17 @@ def parse_cdc(raw: DataFrame) -> DataFrame:
     return parsed.select(*(c for c in parsed.columns if c != "data"), data)
 
 
+def latest_rows(routed: DataFrame) -> DataFrame:
+    """The newest row of each key of each sink table: ``(sink_table, key, id, value)``.
+
+    Changes are ordered by ``id``. The state of a dimension whose changes were only appended; one aggregate
+    that combines before the shuffle. Changes without a key have no row.
+    """
+    newest = F.max(F.struct("id", "value")).alias("newest")
+    rows = routed.filter(F.col("key").isNotNull()).groupBy("sink_table", "key").agg(newest)
+    return rows.select("sink_table", "key", "newest.*")
+
+
 def quarantined_cdc(changes: DataFrame) -> DataFrame:
     """The texts ``(topic, id, value)`` that are no change records at all.
 

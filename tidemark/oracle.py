@@ -132,6 +132,14 @@ CHANGES = """
 VIEWS["change"] = f"select * from ({CHANGES}) where id % 11 > 3"
 
 
+VIEWS["newest"] = f"""
+        select user_id, max(id) as change_id, arg_max(gender, id) as gender from (
+          select id, id::varchar as user_id, gender from ({CHANGES})
+          where source_table = 'user_info' and id % 11 > 3
+          union all select o_orderkey + 1000000000000, o_custkey::varchar, o_orderstatus from orders)
+        group by user_id"""
+
+
 def _stats(measures: str, window_ms: int) -> str:
     text = "strftime(make_timestamp({} * 1000), '%Y-%m-%d %H:%M:%S')"
     sums = ", ".join(
@@ -213,6 +221,11 @@ QUERIES = {
           from customer)""",
     "dim_lookup_id": """select o_orderkey, o_custkey, birthday, gender
         from orders left join user_dim on id = o_custkey::varchar""",
+    "dim_lookup_cached": """select o_orderkey, o_custkey, birthday, gender
+        from orders left join user_dim on id = o_custkey::varchar""",
+    "dim_latest": "select user_id, change_id, gender from newest",
+    "dim_lookup_fresh": """select o_orderkey, o_custkey, gender
+        from orders left join newest on user_id = o_custkey::varchar""",
     "dim_lookup_composite": """
         select o_orderkey, nation, segment, c_custkey, c_name
         from (select o_orderkey, (o_custkey % 30)::varchar as nation,

@@ -238,6 +238,13 @@ def user_changes(customer: DataFrame) -> DataFrame:
     return _changes(customer, F.col("c_custkey"), "user_info", F.lit("insert"), data)
 
 
+def later_user_changes(orders: DataFrame) -> DataFrame:
+    """A change of its user for each order, with ids above those of :func:`user_changes`."""
+    data = F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("gender"))
+    record = F.struct(F.lit("user_info").alias("table"), F.lit("insert").alias("type"), data.alias("data"))
+    return orders.select((F.col("o_orderkey") + 1_000_000_000_000).alias("id"), F.to_json(record).alias("value"))
+
+
 def _changes(df: DataFrame, key: Column, name: str, kind: Column, data: Column) -> DataFrame:
     turn = key % 11
     body = (

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-# Paths made by this process in the shared folder.
+# Paths made by this process in the shared folder, and those of the scope a thread is in.
 _made: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
@@ -29,7 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    own = _scope.get()
+    (_made if own is None else own).append(path)
     return path
 
 
@@ -46,8 +51,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the tables staged by this process, when the results built on them are written."""
+    """Delete all tables staged by this process, when the results built on them are written.
+
+    Where other jobs of the process may still read theirs, use :func:`scope`.
+    """
+    _delete(spark, _made)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the tables staged inside by this thread, and no others."""
+    own: list[str] = []
+    token = _scope.set(own)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, own)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
