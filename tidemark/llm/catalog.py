@@ -85,4 +85,57 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+def _repeats(symbols: str, length: int) -> str:
+    """Runs ``(doc_id, low, high)`` of symbols, counted from 1, under windows a smaller document has too.
+
+    ``symbols`` selects ``doc_id``, the number ``n`` of symbols and ``window``, the text of the window at ``p``.
+    """
+    return f"""
+        windows as ({symbols}),
+        later as (
+          select doc_id, p from (select doc_id, p, min(doc_id) over (partition by w) as least from windows)
+          where least < doc_id),
+        marked as (
+          select doc_id, p, p - lag(p) over (partition by doc_id order by p) > {length} as apart from later),
+        numbered as (
+          select doc_id, p, count(*) filter (where apart) over (partition by doc_id order by p) as run from marked),
+        runs as (
+          select doc_id, run, min(p) as low, max(p) + {length} - 1 as high from numbered group by doc_id, run)"""
+
+
+ORACLE: dict[str, str] = {
+    "op9_substrings": f"""
+        with texts as (
+          select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as words from documents),
+        {_repeats(
+            "select doc_id, p, array_to_string(words[p:p + 49], ' ') as w from "
+            "(select doc_id, words, unnest(range(1, len(words) - 48)) as p from texts)", 50
+        )},
+        gone as (select doc_id, unnest(range(low, high + 1)) as i from runs),
+        kept as (
+          select doc_id, string_agg(word, ' ' order by i) as text
+          from (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as i from texts)
+          anti join gone using (doc_id, i) group by doc_id),
+        removed as (select doc_id, count(*) as n from gone group by doc_id)
+        select doc_id, len(words) as n_words, coalesce(n, 0) as n_removed,
+          sha256(coalesce(kept.text, '')) as kept_sha256
+        from texts left join kept using (doc_id) left join removed using (doc_id)""",
+    "op3_suffix_array": f"""
+        with texts as (select doc_id, hex(encode(coalesce(text, ''))) as raw from documents),
+        {_repeats(
+            "select doc_id, p, substr(raw, 2 * p - 1, 100) as w from "
+            "(select doc_id, raw, unnest(range(1, len(raw) // 2 - 48)) as p from texts)", 50
+        )},
+        edges as (
+          select doc_id, low, high, lag(high, 1, 0) over (partition by doc_id order by low) as before from runs
+          union all
+          select doc_id, len(raw) // 2 + 1, null, coalesce((select max(high) from runs r where r.doc_id = t.doc_id), 0)
+          from texts t),
+        kept as (
+          select doc_id, string_agg(substr(raw, 2 * before + 1, 2 * (low - before - 1)), '' order by low) as raw,
+            coalesce(sum(high - low + 1), 0) as n_removed, count(high) as n_spans
+          from edges join texts using (doc_id) group by doc_id)
+        select doc_id, len(texts.raw) // 2 as n_bytes, n_removed::bigint as n_removed, n_spans,
+          sha256(unhex(kept.raw)) as kept_sha256
+        from texts join kept using (doc_id)""",
+}
