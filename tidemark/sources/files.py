@@ -67,11 +67,11 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataF
     return lines.select(F.xxhash64("value").alias("id"), "value")
 
 
-def console_sink(prefix: str, rows: int = 20) -> Sink:
-    """Print some rows of each batch, for debugging."""
+def console_sink(prefix: str) -> Sink:
+    """Print every row of each batch as JSON, on the executor that holds it."""
 
     def show(df: DataFrame, batch_id: int) -> None:
-        print(f"{prefix} batch {batch_id}")
-        df.show(rows, truncate=False)
+        lines = df.select(F.to_json(F.struct("*")).alias("line"))
+        lines.foreach(lambda row: print(f"{prefix} batch {batch_id} {row.line}"))
 
     return show
