@@ -73,10 +73,6 @@ def _displays_readable() -> Column:
     return F.when(listed, _displays().isNotNull()).otherwise(True)
 
 
-def quarantined(logs: DataFrame) -> DataFrame:
-    return logs.filter(~is_usable()).select("id", "value")
-
-
 def page_logs(logs: DataFrame) -> DataFrame:
     """Page views: usable logs that are not start logs."""
     return logs.filter(is_usable() & ~F.col("is_start"))

@@ -55,11 +55,6 @@ def is_filled_object(text: Column) -> Column:
     return F.coalesce(text.rlike(r'^\s*\{\s*"'), F.lit(False))
 
 
-def to_value(df: DataFrame, *columns: str) -> Column:
-    """A row (or the named columns of it) as JSON text; null members are left out."""
-    return F.to_json(F.struct(*(columns or df.columns)))
-
-
 def json_null_free(entries: Column) -> Column:
     """Drop null members of a ``map<string,variant>``, which ``to_json`` would print."""
     return F.map_filter(entries, lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
