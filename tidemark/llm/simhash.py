@@ -63,7 +63,8 @@ def _joined(data, start, end, doc):
     return out.tobytes(), to, to + length
 
 
-def _fingerprints(block, shingle: int) -> np.ndarray:
+def shingle_spans(block, shingle: int):
+    """The words in lower case joined by one space, byte starts and ends of all shingles, the document and number of them."""
     start, end, doc = word_spans(block.data, block.offsets)
     text, start, end = _joined(block.data, start, end, doc)
     words = np.bincount(doc, minlength=block.size)
@@ -73,9 +74,15 @@ def _fingerprints(block, shingle: int) -> np.ndarray:
     owner = np.repeat(np.arange(block.size), count)
     begin = first[owner] + np.arange(len(owner)) - at[owner]
     stop = np.minimum(begin + shingle, (first + words)[owner]) - 1
+    return text, start[begin], end[stop], owner, count
+
+
+def _fingerprints(block, shingle: int) -> np.ndarray:
+    text, begin, end, owner, count = shingle_spans(block, shingle)
+    at = np.cumsum(count) - count
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter(
-        (digest(text[a:b], HASH_SEED) for a, b in zip(start[begin].tolist(), end[stop].tolist())),
+        (digest(text[a:b], HASH_SEED) for a, b in zip(begin.tolist(), end.tolist())),
         np.uint64,
         len(owner),
     )
