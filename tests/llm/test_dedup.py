@@ -176,6 +176,21 @@ def test_line_dedup_equals_brute_force(documents, rare):
         assert r.text == (None if before is None else "\n".join(x for k, x in enumerate(before.split("\n")) if k not in cut))
 
 
+def left_by_line_dedup(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in line_dedup.remove_common(docs).orderBy("doc_id").collect()]
+
+
+A, B, C = ("this is the long line of the letter " + x for x in "ABC")
+
+
+def test_copies_leave_where_the_first_holder_has_the_lines_elsewhere(spark):
+    assert left_by_line_dedup(spark, [f"{A}\n{B}", f"{B}\n{A}", f"{B}\n{A}"])[2] == ""
+    assert left_by_line_dedup(spark, [A, B, f"{A}\ns\n{B}", f"{A}\ns\n{B}"])[3] == ""
+    assert left_by_line_dedup(spark, [f"{A}\n{C}", f"s\n{A}", f"s\n{A}"])[2] == ""
+    assert left_by_line_dedup(spark, [A, B, f"{A}\ns\nt\nu\n{B}", f"t\n{A}\ns\nt\nu\n{B}\nv"])[3] == "t\nv"
+
+
 def test_line_dedup_of_odd_tables(odd_documents, no_documents):
     out = line_dedup.remove_common(odd_documents)
     assert out.count() == odd_documents.count()

@@ -1,11 +1,12 @@
-"""Line dedup: documents that share rare lines are aligned, and common blocks leave the later one.
-
-A line is rare when few documents hold it. Through each rare line a document is paired with the
-first document that holds the line, never with all of them, so a line adds at most one pair a
-document. Lines above ``RARE_DOCS`` are boilerplate on their own; for large groups of copies, whose
-every line is that frequent, two frequent lines in a row (or a document of one line) count like
-a rare line, again with the first holder only. A pair is aligned by patience diff over line
-hashes: lines that occur once in both anchor the alignment, and grow into blocks of equal lines.
+"""Line dedup: documents that share lines are aligned, and common blocks leave the later one.
+
+Documents meet under keys: each long line, each two filled lines in a row of which one is long, each
+run of short lines from one long line (or border of the document) to the next, and all filled lines of
+the document. Under each key, however many documents have it, a document is paired with the first one
+that has it, never with all of them, so a key adds at most one pair a document; the keys of several
+lines lead to a document that holds the lines in that order where the first holder of a line does not.
+A pair is aligned by patience diff over line hashes: lines that occur once in both anchor the alignment,
+and grow into blocks of equal lines.
 """
 
 from __future__ import annotations
@@ -61,13 +62,17 @@ def line_hashes(docs: DataFrame, least: int = MIN_LINE_BYTES) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, lines array<long>")
 
 
-def _seeds(lines: DataFrame) -> DataFrame:
-    """The distinct long lines of each document, each with a hash of it and the next line.
+def _runs(line: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, rolling: Rolling) -> np.ndarray:
+    """Hashes of runs of filled lines, told apart from those of lines."""
+    sums = rolling.sums(mixed(line.view(np.uint64)))
+    return mixed(rolling.hashes(sums, low, high) + np.uint64(1)).view(np.int64)
 
-    ``pair`` is null at the last line, but for documents of one line.
-    """
+
+def _keys(lines: DataFrame) -> DataFrame:
+    """The distinct keys of each document; ``single`` are those of one long line."""
 
     def run(batches):
+        rolling = Rolling(4)
         for batch in batches:
             lists = batch.column(2)
             count = lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -75,40 +80,50 @@ def _seeds(lines: DataFrame) -> DataFrame:
             doc = np.repeat(np.arange(len(count)), count)
             full = line != 0
             line, doc = line[full], doc[full]
-            own = np.bincount(doc, minlength=len(count))
-            follows = np.append(doc[1:] == doc[:-1], False) if len(doc) else np.zeros(0, bool)
-            after = np.append(line[1:], 0).astype(np.int64) if len(line) else line
-            pair = mixed(mixed(line.view(np.uint64)) + np.where(follows, after, 0).view(np.uint64)).view(np.int64)
-            usable = follows | (own[doc] == 1)
             long = (line & 1) == 1
-            order = np.lexsort((~usable[long], line[long], doc[long]))
-            at = np.flatnonzero(long)[order]
-            new = np.ones(len(at), bool)
-            new[1:] = (line[at][1:] != line[at][:-1]) | (doc[at][1:] != doc[at][:-1])
-            at = at[new]
-            take = pa.array(doc[at])
+            at = np.flatnonzero(long)
+            # two lines in a row
+            two = np.flatnonzero((doc[1:] == doc[:-1]) & (long[1:] | long[:-1]))
+            # from a long line or the border of the document to the next, over two short lines or more
+            border = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else at
+            end = np.append(border[1:], len(doc)) if len(doc) else at
+            # (even numbers are long lines, odd ones the borders before a line)
+            edge = np.unique(np.concatenate([2 * at, 2 * border - 1, 2 * end - 1]))
+            low, high = (edge[:-1] + 1) // 2, edge[1:] // 2 + 1
+            marks = (edge[:-1] % 2 == 0).astype(np.int64) + (edge[1:] % 2 == 0)
+            far = (marks > 0) & (high - low - marks >= 2)
+            low, high = low[far], high[far]
+            # all lines of a document
+            whole = np.add.reduceat(long.astype(np.int64), border) > 0 if len(doc) else border > 0
+            low, high = np.concatenate([two, low, border[whole]]), np.concatenate([two + 2, high, end[whole]])
+            key = np.concatenate([line[at], _runs(line, doc, low, high, rolling)])
+            owner = np.concatenate([doc[at], doc[low]])
+            single = np.arange(len(key)) < len(at)
+            order = np.lexsort((key, owner))
+            new = np.ones(len(order), bool)
+            new[1:] = (key[order][1:] != key[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+            order = order[new]
+            take = pa.array(owner[order])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(line[at]), pa.array(pair[at], mask=~usable[at])],
-                ["doc_id", "text_hash", "line", "pair"],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(key[order]), pa.array(single[order])],
+                ["doc_id", "text_hash", "key", "single"],
             )
 
-    return lines.mapInArrow(run, "doc_id long, text_hash long, line long, pair long")
-
+    return lines.mapInArrow(run, "doc_id long, text_hash long, key long, single boolean")
 
-def _to_first(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key more than one document has, with its first document and their number."""
-    shared = rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    # written out, so that adaptive execution can split the rows of a hot key in the join
-    return rows.join(stage(shared.where("first < last").drop("last"), "shared"), key)
 
+def partners(lines: DataFrame, rare: int | None = RARE_DOCS) -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``first``, an earlier document it overlaps with; distinct.
 
-def partners(lines: DataFrame, rare: int = RARE_DOCS) -> DataFrame:
-    """``doc_id``, ``text_hash`` and ``first``, an earlier document it overlaps with; distinct."""
-    shared = stage(_to_first(_seeds(lines), "line"), "shared_lines")
-    frequent = shared.where((F.col("n") > rare) & F.col("pair").isNotNull()).select("doc_id", "text_hash", "pair")
-    pairs = shared.where(F.col("n") <= rare).select("doc_id", "text_hash", "first")
-    pairs = pairs.union(_to_first(frequent, "pair").select("doc_id", "text_hash", "first"))
-    return pairs.where("first < doc_id").distinct()
+    With ``rare``, lines of more documents are no keys on their own.
+    """
+    rows = _keys(lines)
+    shared = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    # written out, so that adaptive execution can split the rows of a hot key in the join
+    met = rows.join(stage(shared.where("first < last").drop("last"), "shared"), "key")
+    if rare is not None:
+        met = met.where(~F.col("single") | (F.col("n") <= rare))
+    return met.where("first < doc_id").select("doc_id", "text_hash", "first").distinct()
 
 
 def _longest_rise(values: list[int]) -> list[int]:
@@ -180,7 +195,7 @@ def common_blocks(earlier: list[int], later: list[int]) -> list[int]:
     return out
 
 
-def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int = RARE_DOCS) -> DataFrame:
+def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = RARE_DOCS) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``deleted``, the places of lines to delete; only documents with any."""
     lines = stage(line_hashes(docs.where("doc_id is not null"), least), "lines")
     pairs = partners(lines, rare)
@@ -203,7 +218,7 @@ def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int = RARE_DOC
     return found.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("deleted")))).alias("deleted"))
 
 
-def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int = RARE_DOCS) -> DataFrame:
+def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = RARE_DOCS) -> DataFrame:
     """``docs`` with the aligned common blocks cut from ``text``, and ``n_lines`` and ``n_deleted``.
 
     ``n_lines`` and ``n_deleted`` take the place of columns of these names. Lines end at ``\\n``; a null
