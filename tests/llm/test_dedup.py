@@ -191,6 +191,12 @@ def test_copies_leave_where_the_first_holder_has_the_lines_elsewhere(spark):
     assert left_by_line_dedup(spark, [A, B, f"{A}\ns\nt\nu\n{B}", f"t\n{A}\ns\nt\nu\n{B}\nv"])[3] == "t\nv"
 
 
+def test_a_line_of_many_documents_leaves_all_but_the_first(spark):
+    texts = [f"own line number {i} of this document\n{A}\nnext line number {i} of this document" for i in range(150)]
+    left = left_by_line_dedup(spark, texts)
+    assert left == [texts[0], *(t.replace(A + "\n", "") for t in texts[1:])]
+
+
 def test_line_dedup_of_odd_tables(odd_documents, no_documents):
     out = line_dedup.remove_common(odd_documents)
     assert out.count() == odd_documents.count()

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.texts import Rolling, blocks, mixed
 from tidemark.sources.staging import stage
 
-RARE_DOCS = 100
 # Bytes a line needs to pair documents, and at least one line of a block to be deleted.
 MIN_LINE_BYTES = 20
 
@@ -112,7 +111,7 @@ def _keys(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "doc_id long, text_hash long, key long, single boolean")
 
 
-def partners(lines: DataFrame, rare: int | None = RARE_DOCS) -> DataFrame:
+def partners(lines: DataFrame, rare: int | None = None) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``first``, an earlier document it overlaps with; distinct.
 
     With ``rare``, lines of more documents are no keys on their own.
@@ -195,7 +194,7 @@ def common_blocks(earlier: list[int], later: list[int]) -> list[int]:
     return out
 
 
-def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = RARE_DOCS) -> DataFrame:
+def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = None) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``deleted``, the places of lines to delete; only documents with any."""
     lines = stage(line_hashes(docs.where("doc_id is not null"), least), "lines")
     pairs = partners(lines, rare)
@@ -218,7 +217,7 @@ def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = R
     return found.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("deleted")))).alias("deleted"))
 
 
-def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = RARE_DOCS) -> DataFrame:
+def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = None) -> DataFrame:
     """``docs`` with the aligned common blocks cut from ``text``, and ``n_lines`` and ``n_deleted``.
 
     ``n_lines`` and ``n_deleted`` take the place of columns of these names. Lines end at ``\\n``; a null
