@@ -242,3 +242,22 @@ def test_template_text_is_dropped_where_no_article_is_marked(spark):
     rows.append((9, "http://other.example/", "<body><p>Welcome to our pages</p><p>single</p>"))
     out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert out == {**{i: f"story {i}" for i in range(5)}, 9: "Welcome to our pages single"}
+
+
+def test_no_article_is_left_out_by_a_class(spark):
+    pages = [
+        "<body><div class='content has-sidebar'><article class='post social no-comments'><p>one</p></article></div>",
+        "<body><div class=sidebar><p>menu</p><main class='share'><div class='entry-header'>two</div><div class=ad>buy</div></main></div>",
+        "<body><div class='post no-comments'><p>three</p></div><div class='x sidebar'><p>menu</p></div>",
+        "<body><div hidden><article>none</article></div><p>four</p>",
+    ]
+    rows = [(i, f"http://h{i}.example/", t) for i, t in enumerate(pages)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {0: "one", 1: "two", 2: "three", 3: "four"}
+
+
+def test_equal_pages_count_once_for_the_template(spark):
+    rows = [(i, f"http://h.example/{i}", "<body><div><h1>A story</h1><p>told again</p></div>") for i in range(4)]
+    rows += [(i, f"http://h.example/{i}", f"<body><div><h1>Story {i}</h1><p>told by {i}</p></div>") for i in range(4, 7)]
+    out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {**{i: "A story told again" for i in range(4)}, **{i: f"Story {i} told by {i}" for i in range(4, 7)}}
