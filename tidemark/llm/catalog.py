@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, quality, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, merkle, quality, secrets, simhash, substring_dedup, suffix_dedup
 from tidemark.llm.texts import small_batches
 
 
@@ -72,6 +72,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_substrings": op9_substrings,
     "op10_bpe": op10_bpe,
+    "op13_merkle": op13_merkle,
 }
 
 def _repeats(symbols: str, length: int) -> str:
@@ -103,7 +108,80 @@ def _repeats(symbols: str, length: int) -> str:
           select doc_id, run, min(p) as low, max(p) + {length} - 1 as high from numbered group by doc_id, run)"""
 
 
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text of ASCII characters, bit by bit."""
+    bit = "xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels ``name0`` to ``name{levels}`` of all trees, and what stands before and behind a node in its run.
+
+    ``name0`` has ``tree, idx, n, digest``. A tree of one node passes as it is.
+    """
+    out = []
+    for level in range(levels):
+        run = "partition by tree, idx // 8 order by idx rows between"
+        out.append(f"""
+        {name}_side{level} as (
+          select tree, idx, n,
+            coalesce(string_agg(digest, '') over ({run} unbounded preceding and 1 preceding), '') as before,
+            coalesce(string_agg(digest, '') over ({run} 1 following and unbounded following), '') as behind
+          from {name}{level}),
+        {name}{level + 1} as (
+          select tree, idx // 8 as idx, (any_value(n) + 7) // 8 as n,
+            case when any_value(n) = 1 then any_value(digest) else sha256(string_agg(digest, '' order by idx)) end as digest
+          from {name}{level} group by tree, idx // 8)""")
+    return ",".join(out)
+
+
+def _folds(name: str, levels: int, start: str, tree: str, idx: str) -> str:
+    """``name_fold``: rows of ``start`` with proof and node taken through the levels of a tree."""
+    out, source = [], start
+    for level in range(levels):
+        target = f"{name}_fold{level}" if level < levels - 1 else f"{name}_fold"
+        out.append(f"""
+        {target} as (
+          select p.* exclude (proof, node), proof || before || behind as proof,
+            case when n = 1 then node else sha256(before || node || behind) end as node
+          from {source} p join {name}_side{level} s on s.tree = p.{tree} and s.idx = p.{idx} // {8 ** level})""")
+        source = target
+    return ",".join(out)
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::varchar) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
+    "op13_merkle": f"""
+        with leaves as (
+          select doc_id, coalesce('=' || lang, '-') as lang_tree, {_leaf("text")} as leaf,
+            case when {_crc32("doc_id::varchar")} % 3 = 0 then {_leaf(_SMALL)} else {_leaf("text")} end as node
+          from documents),
+        placed as (
+          select *, '' as proof, count(*) over (partition by lang_tree) as size,
+            row_number() over (partition by lang_tree order by doc_id nulls first, leaf) - 1 as i from leaves),
+        low0 as (select lang_tree as tree, i as idx, size as n, leaf as digest from placed),
+        {_tree("low", 8)},
+        high0 as (
+          select '' as tree, row_number() over (order by encode(tree)) - 1 as idx, count(*) over () as n,
+            digest, tree as lang_tree from low8),
+        {_tree("high", 4)},
+        {_folds("low", 8, "placed", "lang_tree", "i")},
+        langs as (
+          select doc_id, leaf, proof, node, h.digest as subroot, h.idx as lang_idx, h.tree as top
+          from low_fold join high0 h using (lang_tree)),
+        {_folds("high", 4, "langs", "top", "lang_idx")}
+        select doc_id, leaf, subroot, high4.digest as root, sha256(proof) as proof_sha256, node as folded_root,
+          node = high4.digest as verified, strlen(proof)::int // 64 as proof_nodes
+        from high_fold, high4""",
     "op9_substrings": f"""
         with texts as (
           select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as words from documents),
