@@ -23,6 +23,6 @@ def names_without(*missing):
 
 
 def test_queries_with_and_without_the_subpackage():
-    assert names_without() == "10 True True"
+    assert names_without() == "13 True True"
     assert names_without("tidemark.llm", "corpus_pipeline") == "0 False True"
     assert names_without("corpus_pipeline") == "0 False True"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, merkle, quality, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, merkle, prefix_trie, quality, secrets, simhash, substring_dedup, suffix_dedup
 from tidemark.llm.texts import small_batches
 
 
@@ -72,6 +72,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_substrings": op9_substrings,
     "op10_bpe": op10_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle": op13_merkle,
 }
 
@@ -160,6 +165,40 @@ def _leaf(text: str) -> str:
 _SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op12_prefix_trie": f"""
+        with said as (
+          select conv_id, turn, strlen(coalesce(text, '')) as n_bytes,
+            sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest
+          from conversations where conv_id is not null),
+        turns as (
+          select *, row_number() over (partition by conv_id order by turn nulls first, digest) as p from said),
+        convs as (
+          select conv_id, {_crc32("conv_id::varchar")} % 9 as h, conv_id - conv_id % 5 as first
+          from (select distinct conv_id from said)),
+        rebuilt as (
+          select c.conv_id, 0 as own, p, digest, n_bytes from convs c join turns t on t.conv_id = c.first and p <= h
+          union all
+          select c.conv_id, 1, p, digest, n_bytes from convs c join turns t on t.conv_id = c.conv_id and p > h),
+        paths as (
+          select conv_id, coalesce(list(digest order by own, p) filter (digest is not null), []) as path,
+            list(n_bytes order by own, p) as sizes
+          from convs left join rebuilt using (conv_id) group by conv_id),
+        members as (
+          select conv_id, path[1:d] as node, d, len(path) as length, case when d > 0 then sizes[d] else 0 end as n_bytes
+          from (select *, unnest(range(0, len(path) + 1)) as d from paths)),
+        nodes as (
+          select node, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+            (count(*) - 1) * any_value(n_bytes) as saved, not bool_or(length > d) as leaf,
+            string_agg(conv_id::varchar, ',' order by conv_id) filter (length = d) as ends
+          from members group by node),
+        below as (
+          select node[1:k] as node, sum(leaf::bigint)::bigint as n_leaves, sum(saved)::bigint as saved_tokens,
+            count(*) filter (k = depth - 1) as n_children
+          from (select *, unnest(range(0, depth + 1)) as k from nodes) group by 1)
+        select n.conv_id, n.depth, up.conv_id as parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens,
+          sha256(coalesce(n.ends, '')) as ends_sha256
+        from nodes n join below using (node)
+        left join nodes up on n.depth > 0 and up.node = n.node[1:n.depth - 1]""",
     "op13_merkle": f"""
         with leaves as (
           select doc_id, coalesce('=' || lang, '-') as lang_tree, {_leaf("text")} as leaf,
