@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, merkle, prefix_trie, quality, secrets, simhash, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, decontaminate, html_text, langid, line_dedup, merkle, prefix_trie, quality, secrets, simhash, substring_dedup, suffix_dedup, toxicity
 from tidemark.llm.texts import small_batches
 
 
@@ -72,6 +72,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_substrings": op9_substrings,
     "op10_bpe": op10_bpe,
+    "op11_toxicity": op11_toxicity,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle": op13_merkle,
 }
