@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import age_years
-from tidemark.operators import bounce, cdc, dims, logs, orders, stats, visitors
+from tidemark.operators import bounce, cdc, dims, logs, orders, pattern, stats, visitors
 from tidemark.plans import jobs
 from tidemark.schemas import QUARANTINE_TOPIC, Topic
 from tidemark.sources import sample_tables as sample
@@ -120,6 +120,21 @@ def bounces_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jumps.select("id", "mid", "is_new", "page_id", "ts")
 
 
+def deeper_page() -> Column:
+    """A page reached from another one; an entry page after an entry page is none."""
+    return ~visitors.is_entry()
+
+
+def page_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry pages and whether the device's next page, within six hours, was reached from another one."""
+    found = pattern.two_step(
+        pages(spark, sf_dir), visitors.is_entry(), deeper_page(), SIX_HOURS_MS, columns=["id", "mid", "ts"], then_columns=["id", "ts", "page_id"]
+    )
+    return found.select(
+        "id", "mid", "ts", "outcome", F.col("next.id").alias("next_id"), F.col("next.ts").alias("next_ts"), F.col("next.page_id").alias("next_page")
+    )
+
+
 def page_view_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.page_view_measures(pages(spark, sf_dir))
 
@@ -358,6 +373,7 @@ BATCH_QUERIES: dict[str, Query] = {
         unique_visits,
         bounces_10s,
         bounces_6h,
+        page_pattern,
         page_view_measures,
         session_measures,
         pv_uv_sv_uj_union,

@@ -93,8 +93,8 @@ def display_values() -> Column:
     return F.coalesce(F.transform(present, render), F.array().cast("array<string>"))
 
 
-def split_log(logs: DataFrame) -> DataFrame:
-    """Fan every log out to records ``(topic, id, value)`` in one pass.
+def split_log(logs: DataFrame, numbered: bool = False) -> DataFrame:
+    """Fan every log out to records ``(topic, id, value)`` in one pass, ``numbered`` with their ``part`` in the log.
 
     A start log gives one start record and no displays. Any other log gives one page record and one
     display record per display. Unusable logs go to the quarantine topic.
@@ -112,6 +112,8 @@ def split_log(logs: DataFrame) -> DataFrame:
         .when(F.col("displays").isNull(), page)
         .otherwise(F.concat(page, displays))
     )
+    if numbered:
+        return logs.select("id", F.posexplode(outputs).alias("part", "out")).select("out.topic", "id", "out.value", "part")
     return logs.select("id", F.explode(outputs).alias("out")).select(
         "out.topic", "id", "out.value"
     )

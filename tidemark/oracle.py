@@ -27,6 +27,16 @@ VIEWS = {
           select *, row_number() over (partition by mid, day order by ts, id) as rn
           from page where is_entry) where rn = 1""",
     "nxt": "select *, lead(ts) over (partition by mid order by ts, id) as next_ts from page",
+    "after": """
+        select * from (
+          select id, mid, ts, is_entry, lead(struct_pack(id := id, ts := ts, page_id := page_id, is_entry := is_entry))
+            over (partition by mid order by ts, id) as nxt from page)""",
+    "outcomes": """
+        select id, mid, ts,
+          case when nxt is null or nxt.ts - ts >= 21600000 then 'timeout' when not nxt.is_entry then 'match' end as outcome,
+          case when outcome = 'match' then nxt.id end as next_id, case when outcome = 'match' then nxt.ts end as next_ts,
+          case when outcome = 'match' then nxt.page_id end as next_page
+        from after where is_entry""",
     "jump10s": "select * from nxt where is_entry and (next_ts is null or next_ts - ts >= 10000)",
     "jump6h": "select * from nxt where is_entry and (next_ts is null or next_ts - ts >= 21600000)",
 }
@@ -187,6 +197,7 @@ QUERIES = {
     "entry_pages": "select id, mid, page_id, ts from page where is_entry",
     "unique_visits": "select id, mid, day, is_new, ts from uv",
     "bounces_10s": "select id, mid, is_new, page_id, ts from jump10s",
+    "page_pattern": "select * from outcomes where outcome is not null",
     "bounces_6h": "select id, mid, is_new, page_id, ts from jump6h",
     "page_view_measures": """select ar, ch, vc, is_new, ts, 0::bigint as uv_ct, 1::bigint as pv_ct,
         0::bigint as sv_ct, 0::bigint as uj_ct, during_time as dur_sum from page""",
@@ -283,6 +294,7 @@ QUERIES |= {
           where usable and event_type = 'click' and i < k % 3
         union all select 'quarantine', id, null from damaged where not usable""",
     "stream_unique_visits": "select id, mid, is_new, ts from uv",
+    "stream_page_pattern": "select * exclude (next_page) from outcomes where outcome is not null",
     "stream_bounces_6h": "select id, mid, is_new, ts from jump6h",
     "stream_visitor_stats_1d": _stats("measures6h", 86_400_000),
     "stream_order_wide_user": QUERIES["order_wide_user"],
@@ -304,4 +316,6 @@ QUERIES |= {
         from change""",
 }
 
+QUERIES["stream_dedup_on_read"] = QUERIES["stream_log_split"]
+
 ORACLE: dict[str, str] = {name: _with(query) for name, query in QUERIES.items()}

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import RECORD, Topic
+from tidemark.sources.stamps import HEADERS, stamped, unrepeated
+
+# A record as an appending topic keeps it.
+STAMPED = f"{RECORD}, headers {HEADERS}, timestamp timestamp, arrival string"
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -29,6 +33,37 @@ def topic_sink(root: str) -> Sink:
     return write
 
 
+def appending_topic_sink(root: str, query: str | None = None) -> Sink:
+    """Records into folders that are only appended to, as in a log that knows no batches: at least once.
+
+    With a ``query`` name the records are stamped for :func:`stream_once`. ``arrival`` tells all rows apart.
+    """
+
+    def append(records: DataFrame, batch_id: int) -> None:
+        rows = records if query is None else stamped(records, query, batch_id)
+        kept = {
+            "topic": F.coalesce("topic", F.lit(Topic.FALLBACK)),
+            "headers": F.col("headers") if "headers" in rows.columns else F.lit(None).cast(HEADERS),
+            "timestamp": F.current_timestamp(),
+            "arrival": F.uuid(),
+        }
+        rows = rows.withColumns(kept).select("topic", "id", "value", "headers", "timestamp", "arrival")
+        rows.write.mode("append").partitionBy("topic").parquet(root)
+
+    return append
+
+
+def stream_once(
+    spark: SparkSession, root: str, topic: str, delay: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """An appending topic as a stream of records; a stamped record that comes again within ``delay`` is dropped."""
+    reader = spark.readStream.schema(STAMPED)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    rows = reader.parquet(f"{root}/topic={topic}")
+    return unrepeated(rows, arrival="arrival", delay=delay).select("id", "value")
+
+
 def table_sink(root: str) -> Sink:
     """Rows of any kind into one folder per batch."""
 
@@ -38,8 +73,6 @@ def table_sink(root: str) -> Sink:
     return write
 
 
-
-
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(f"{root}/topic={topic}/*")
 

@@ -6,10 +6,14 @@ rows are used up, and gives what arrived.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, in_utc
+from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, deeper_page, in_utc
+from tidemark.operators.pattern import MATCH, TIMEOUT
+from tidemark.operators.visitors import is_entry
 from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
@@ -53,16 +57,25 @@ class Replay:
     def logs(self) -> None:
         """The log job over ``events`` in time order, in ``STEPS`` parts or more micro-batches, and
         over the closing records."""
+        last = self.steps(sample.log_records)
+        closing = sample.closing_records(self.spark, last)
+        closing.coalesce(1).write.parquet(f"{self.root('raw')}/step={STEPS}")
+        self.run("logs", jobs.start_logs, self.raw())
+
+    def steps(self, records) -> int:
+        """``events`` as raw records in ``STEPS`` parts, in time order; gives the last time."""
         events = table(self.spark, self.sf_dir, "events").withColumn("at", F.unix_millis(F.col("ts").cast("timestamp")))
         edges = events.approxQuantile("at", [i / STEPS for i in range(1, STEPS)], 0.05)
         last = events.agg(F.max("at")).first()[0] or 0
         for step, (low, high) in enumerate(zip([0, *edges], [*edges, last + 1])):
             part = events.where((F.col("at") >= low) & (F.col("at") < high))
-            sample.log_records(part).write.parquet(f"{self.root('raw')}/step={step}")
-        closing = sample.closing_records(self.spark, last)
-        closing.coalesce(1).write.parquet(f"{self.root('raw')}/step={STEPS}")
+            records(part).write.parquet(f"{self.root('raw')}/step={step}")
+        return last
+
+    def raw(self) -> DataFrame:
+        """The parts as a stream, in micro-batches of one file."""
         reader = self.session.readStream.schema(RECORD).option("maxFilesPerTrigger", 1)
-        self.run("logs", jobs.start_logs, reader.parquet(f"{self.root('raw')}/*"))
+        return reader.parquet(f"{self.root('raw')}/*")
 
     def details(self) -> DataFrame:
         """``lineitem``, numbered as a table, as a stream of detail records."""
@@ -82,21 +95,41 @@ def stream_log_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
     events = stream_table(replay.session, sf_dir, "events")
     replay.run("logs", jobs.start_logs, sample.damaged_log_records(events))
-    topics = (Topic.START, Topic.PAGE, Topic.DISPLAY, QUARANTINE_TOPIC)
-    parts = [
-        replay.arrived("logs", t).select(
-            F.lit(t).alias("topic"),
-            "id",
-            F.when(
-                F.lit(t in (Topic.START, Topic.PAGE)), F.get_json_object("value", "$.common.is_new")
-            ).alias("is_new"),
-        )
-        for t in topics
-    ]
-    split = parts[0]
-    for part in parts[1:]:
-        split = split.unionByName(part)
-    return split
+    return _split({t: replay.arrived("logs", t) for t in LOG_TOPICS})
+
+
+LOG_TOPICS = (Topic.START, Topic.PAGE, Topic.DISPLAY, QUARANTINE_TOPIC)
+
+
+def _split(arrived: dict[str, DataFrame]) -> DataFrame:
+    """The records of the log topics, with the flag of those whose text is a whole log."""
+    parts = []
+    for topic, records in arrived.items():
+        flag = F.get_json_object("value", "$.common.is_new") if topic in (Topic.START, Topic.PAGE) else F.lit(None).cast("string")
+        parts.append(records.select(F.lit(topic).alias("topic"), "id", flag.alias("is_new")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_dedup_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log job into topics that are only appended to, where every batch is sent twice; read exactly once."""
+    replay = Replay(spark, sf_dir)
+    replay.steps(sample.damaged_log_records)
+    root = replay.root("appended")
+    append = files.appending_topic_sink(root, query="logs")
+
+    def twice(records: DataFrame, batch_id: int) -> None:
+        # as after a failure between the write and its commit
+        append(records, batch_id)
+        append(records, batch_id)
+
+    jobs.start_logs(replay.raw(), twice, f"{replay.home}/check-logs", numbered=True).awaitTermination()
+    arrived = {}
+    for topic in LOG_TOPICS:
+        records = files.stream_once(replay.session, root, topic, delay="1 hour")
+        sink = jobs.to_topic(files.topic_sink(replay.root("once")), topic)
+        jobs.start(records, sink, f"{replay.home}/check-{topic}").awaitTermination()
+        arrived[topic] = replay.arrived("once", topic)
+    return _split(arrived)
 
 
 def _pages(records: DataFrame) -> DataFrame:
@@ -118,6 +151,22 @@ def stream_bounces_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(replay.arrived("bounces", Topic.BOUNCE))
 
 
+def stream_page_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of the pattern job: entry pages with their next page, and entry pages that timed out."""
+    replay = Replay(spark, sf_dir)
+    replay.logs()
+    pages = replay.stream("logs", Topic.PAGE)
+    options = {"within_ms": SIX_HOURS_MS, "match_topic": MATCH, "timeout_topic": TIMEOUT}
+    replay.run("pattern", jobs.start_pattern, pages, is_entry(), deeper_page(), **options)
+    pair = F.from_json("value", "first string, next struct<id:bigint,ts:bigint>").alias("pair")
+    pairs = replay.arrived("pattern", MATCH).select("id", pair)
+    matched = _pages(pairs.select("id", F.col("pair.first").alias("value"))).join(pairs.select("id", "pair.next"), "id")
+    late = _pages(replay.arrived("pattern", TIMEOUT)).withColumn("next", F.lit(None).cast("struct<id:bigint,ts:bigint>"))
+    rows = [part.select("id", "mid", "ts", F.lit(name).alias("outcome"), "next.*") for part, name in ((matched, MATCH), (late, TIMEOUT))]
+    columns = ["id", "mid", "ts", "outcome", "next_id", "next_ts"]
+    return rows[0].toDF(*columns).unionByName(rows[1].toDF(*columns))
+
+
 def stream_visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
     replay.logs()
@@ -233,8 +282,10 @@ STREAM_QUERIES: dict[str, Query] = {
     query.__name__: in_utc(query)
     for query in (
         stream_log_split,
+        stream_dedup_on_read,
         stream_unique_visits,
         stream_bounces_6h,
+        stream_page_pattern,
         stream_visitor_stats_1d,
         stream_order_wide_user,
         stream_order_wide_dims,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators import bounce, cdc, logs, orders, stats
+from tidemark.operators import bounce, cdc, logs, orders, pattern, stats
 from tidemark.operators.dims import Dimension
 from tidemark.operators.skew import ROWS_PER_TASK, hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
@@ -77,8 +77,11 @@ def with_first_days(raw: DataFrame) -> DataFrame:
     )
 
 
-def start_logs(raw: DataFrame, sink: Sink, checkpoint: str, **options) -> StreamingQuery:
-    """Repair the new-visitor flag and split the logs; one write fans out to all topics."""
+def start_logs(raw: DataFrame, sink: Sink, checkpoint: str, numbered: bool = False, **options) -> StreamingQuery:
+    """Repair the new-visitor flag and split the logs; one write fans out to all topics.
+
+    ``numbered`` is for sinks that stamp the records: they come with their ``part`` and need no shuffle for it.
+    """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         rows = rows.persist()
@@ -89,7 +92,7 @@ def start_logs(raw: DataFrame, sink: Sink, checkpoint: str, **options) -> Stream
             flagged = logs.parse_flags(records).filter(F.col("is_new") == NEW)
             hot = hot_keys(flagged.select("mid"), ["mid"])
             repaired = apply_first_days(logs.parse_log(records), days, hot)
-            sink(logs.split_log(repaired), batch_id)
+            sink(logs.split_log(repaired, numbered), batch_id)
         finally:
             days.unpersist()
             rows.unpersist()
@@ -144,6 +147,35 @@ def start_bounces(
     return start(jumps, to_topic(sink, Topic.BOUNCE), checkpoint, **options)
 
 
+def start_pattern(
+    page_records: DataFrame,
+    first: Column,
+    then: Column,
+    within_ms: int,
+    sink: Sink,
+    checkpoint: str,
+    match_topic: str,
+    timeout_topic: str,
+    watermark_ms: int = bounce.WATERMARK_MS,
+    **options,
+) -> StreamingQuery:
+    """Page views by a two-step pattern: matches to one topic, timeouts to another.
+
+    A timeout is the text of its page log; a match is ``{"first": text, "next": {"id", "ts"}}``.
+    """
+    pages = parse_pages(page_records)
+    columns = ["id", "value"]
+    found = pattern.two_step(pages, first, then, within_ms, columns=columns, watermark_ms=watermark_ms)
+    matched = F.col("outcome") == pattern.MATCH
+    pair = F.to_json(F.struct(F.col("value").alias("first"), "next"))
+    records = found.select(
+        F.when(matched, match_topic).otherwise(timeout_topic).alias("topic"),
+        "id",
+        F.when(matched, pair).otherwise(F.col("value")).alias("value"),
+    )
+    return start(records, sink, checkpoint, **options)
+
+
 def visitor_stats(
     page_records: DataFrame,
     visit_records: DataFrame,
