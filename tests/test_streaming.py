@@ -115,6 +115,29 @@ def test_unique_visits_by_arrival(spark, session, home):
     assert visits(spark, session, home, batches) == [1, 5, 6, 7]
 
 
+def test_unique_visits_resume_and_keep_texts_out_of_python(spark, session, home):
+    """After a restart the days of earlier batches still count; repeated records come once, as they came."""
+    root, out = f"{home}/pages", f"{home}/visits"
+
+    def run():
+        source = stream(session, root, Topic.PAGE)
+        query = jobs.start_unique_visits(source, files.topic_sink(out), f"{home}/check-visits")
+        done(query)
+        return query
+
+    odd = log("b", "1", T0, page_id="é") + "  "
+    feed(spark, root, Topic.PAGE, 0, [(1, log("a", "1", T0)), (2, odd), (2, odd)])
+    run()
+    feed(spark, root, Topic.PAGE, 1, [(3, log("a", "1", T0 + 1)), (4, log("a", "1", T0 + DAY)), (5, log("c", "1", T0))])
+    query = run()
+    found = files.read_topic(spark, out, Topic.UNIQUE_VISIT).collect()
+    assert sorted(r.id for r in found) == [1, 2, 4, 5]
+    assert {r.value for r in found if r.id == 2} == {odd}
+    plan = query._jsq.explainInternal(False)
+    python = [line for line in plan.splitlines() if "MapInPandas" in line or "FlatMapGroupsInPandasWithState" in line]
+    assert python and not any("value" in line for line in python)
+
+
 def test_unique_visits_are_forgotten(spark, session, home):
     batches = [[(1, log("a", "1", T0))], [(2, log("a", "1", T0 + 1))]]
     assert visits(spark, session, home, batches, ttl_ms=1) == [1, 2]

@@ -19,7 +19,7 @@ from tidemark.operators.skew import ROWS_PER_TASK, hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
 from tidemark.plans import jobs
 from tidemark.schemas import SinkType, Topic
-from tidemark.streaming.visits import TTL_MS, unique_visits
+from tidemark.streaming.visits import TTL_MS, opened, with_openings
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -111,15 +111,30 @@ def parse_pages(records: DataFrame) -> DataFrame:
 def start_unique_visits(
     page_records: DataFrame, sink: Sink, checkpoint: str, ttl_ms: int = TTL_MS, **options
 ) -> StreamingQuery:
-    """A query with timeouts always asks for another batch, so with the trigger that ends when
+    """Page records that open a day of their device, as they came.
+
+    The state decides by ids alone (:func:`tidemark.streaming.visits.opening_ids`), and the records are looked up by
+    them within the micro-batch. A query with timeouts always asks for another batch, so with the trigger that ends when
     all is read it would never end. Batches without data are switched off for it; a device
     that is due is then forgotten with the next data, or when it is next seen."""
-    visits = unique_visits(parse_pages(page_records), ttl_ms)
+    rows = with_openings(page_records.select("id", "value"), parse_pages(page_records), ttl_ms)
+    send = to_topic(sink, Topic.UNIQUE_VISIT)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        openings = rows.filter("opens").select("id").persist()
+        try:
+            openings.count()  # makes their size known to the join
+            send(opened(rows, openings), batch_id)
+        finally:
+            openings.unpersist()
+            rows.unpersist()
+
     conf = page_records.sparkSession.conf
     before = conf.get(NO_DATA_BATCHES)
     conf.set(NO_DATA_BATCHES, "false")
     try:
-        return start(visits, to_topic(sink, Topic.UNIQUE_VISIT), checkpoint, **options)
+        return start(rows, batch, checkpoint, **options)
     finally:
         conf.set(NO_DATA_BATCHES, before)
 

@@ -10,7 +10,7 @@ from tidemark.functions import day_text
 from tidemark.operators.visitors import entry_pages
 
 TTL_MS = 24 * 60 * 60 * 1000
-VISIT = "mid string, day string, ts bigint, id bigint, value string"
+VISIT = "mid string, day string, ts bigint, id bigint"
 
 
 def _keep_first():
@@ -24,57 +24,63 @@ def _keep_first():
 
 
 def _visit(ttl_ms: int):
-    """Per device: emit the first row of every day that differs from the last day seen."""
+    """Per device: the first row of every day, but the first of them if its day was the last one seen."""
 
     def visit(key, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        first = {}
-        for rows in batches:
-            for row in rows.itertuples(index=False):
-                at = (row.ts, row.id)
-                if row.day not in first or at < first[row.day][0]:
-                    first[row.day] = (at, row)
+        import pandas as pd
+
+        rows = pd.concat(batches, ignore_index=True).sort_values(["ts", "id"]).drop_duplicates("day")
         now = state.getCurrentProcessingTimeMs()
         last, expires = state.get if state.exists else (None, 0)
-        if expires <= now:
-            last = None
-        emitted = []
-        for _, row in sorted(first.values(), key=lambda pair: pair[0]):
-            if row.day != last:
-                last, expires = row.day, now + ttl_ms
-                emitted.append(row)
-        if emitted:
-            state.update((last, expires))
+        # the days differ from each other, so only the first can be the one already open
+        opened = rows.iloc[1:] if expires > now and rows["day"].iloc[0] == last else rows
+        if len(opened):
+            expires = now + ttl_ms
+            state.update((opened["day"].iloc[-1], expires))
         state.setTimeoutDuration(int(expires - now))
-        if emitted:
-            import pandas as pd
-
-            yield pd.DataFrame([(r.id, r.value) for r in emitted], columns=["id", "value"])
+        yield opened[["id"]]
 
     return visit
 
 
-def unique_visits(pages: DataFrame, ttl_ms: int = TTL_MS) -> DataFrame:
-    """Records ``(id, value)`` of the pages that open a device's day.
+def opening_ids(pages: DataFrame, ttl_ms: int = TTL_MS) -> DataFrame:
+    """The ``id`` of each page that opens a device's day.
 
     A page opens a day when the day differs from that of the last opening page of the
     device. Within a micro-batch pages count in the order of ``(ts, id)``, across batches in
     order of arrival. A device is forgotten ``ttl_ms`` of processing time after its last
-    opening.
+    opening. State is the device and its last day; no text comes near it or Python.
 
     Before the shuffle each task keeps one row per device and day of every Arrow batch,
     so a hot device does not send its rows to one task.
     """
-    visits = entry_pages(pages).select(
-        "mid", day_text(F.col("ts")).alias("day"), "ts", "id", "value"
-    )
+    visits = entry_pages(pages).select("mid", day_text(F.col("ts")).alias("day"), "ts", "id")
     first = visits.mapInPandas(_keep_first(), VISIT)
     return first.groupBy("mid").applyInPandasWithState(
         _visit(ttl_ms),
-        "id bigint, value string",
+        "id bigint",
         "day string, expires bigint",
         "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
+
+
+def with_openings(records: DataFrame, pages: DataFrame, ttl_ms: int = TTL_MS) -> DataFrame:
+    """Records ``(id, value)`` of a page topic, and among them the openings, whose ``opens`` is true and value null."""
+    opened = opening_ids(pages, ttl_ms)
+    return records.select("id", "value", F.lit(False).alias("opens")).unionByName(
+        opened.select("id", F.lit(None).cast("string").alias("value"), F.lit(True).alias("opens"))
+    )
+
+
+def opened(rows: DataFrame, openings: DataFrame) -> DataFrame:
+    """The records of a micro-batch of :func:`with_openings` that open a day, each once.
+
+    There are few openings, so it is they that are sent to the records when they fit; a text is shuffled only
+    once it is known to open a day.
+    """
+    texts = rows.filter(~F.col("opens")).select("id", "value")
+    return texts.join(openings, "id", "left_semi").dropDuplicates(["id"])
