@@ -270,6 +270,21 @@ def dim_lookup_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.get_dim(facts, users, "o_custkey", {"gender": "gender"})
 
 
+def dim_lookup_invalidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup in a kept dimension of which some keys were changed and some deleted; the rest is not read again."""
+    users = dims.Dimension(lambda: _users(spark, sf_dir), refresh="cached")
+    users.frame()
+    customers = table(spark, sf_dir, "customer").withColumn("turn", F.col("c_custkey") % 5)
+    keys = customers.filter("turn in (1, 2)").select(F.col("c_custkey").cast("string").alias("id"))
+    changed = sample.users(customers.filter("turn = 1"), all_of_them=True).withColumn("gender", F.lit("changed"))
+    users.replace(keys, changed)
+    # a key may change again
+    again = sample.users(customers.filter("c_custkey % 10 = 6"), all_of_them=True).withColumn("gender", F.lit("again"))
+    users.replace(again.select("id"), again)
+    facts = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return dims.get_dim(facts, users, "o_custkey", {"birthday": "birthday", "gender": "gender"})
+
+
 def dim_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sample.user_changes(table(spark, sf_dir, "customer")).unionByName(
         sample.later_user_changes(table(spark, sf_dir, "orders"))
@@ -390,6 +405,7 @@ BATCH_QUERIES: dict[str, Query] = {
         dim_lookup_id,
         dim_lookup_cached,
         dim_lookup_fresh,
+        dim_lookup_invalidated,
         dim_latest,
         dim_lookup_composite,
         order_wide_merge,

@@ -10,16 +10,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import hot_keys, join_table
+from tidemark.sources.staging import stage
 
 CACHE_SECONDS = 24 * 60 * 60
 
 
+# Rows the overlay of changed keys may hold before it is merged into the kept rows.
+OVERLAY_ROWS = 1_000_000
+
+
 class Dimension:
     """A dimension table and how fresh it is kept.
 
     ``refresh="batch"`` reads the source at every use (a stream uses it once per
     micro-batch). ``refresh="cached"`` reads once and keeps the rows on the executors until
-    ``ttl_seconds`` have passed or :meth:`invalidate` is called.
+    ``ttl_seconds`` have passed or :meth:`invalidate` is called. ``refresh="version"`` keeps them until
+    ``version()``, a cheap look at the source, gives another value: an unchanged source is never read again.
+
+    Kept rows of single keys are replaced by :meth:`replace`, without reading the source.
     """
 
     def __init__(
@@ -27,30 +35,81 @@ class Dimension:
         reader: Callable[[], DataFrame],
         refresh: str = "batch",
         ttl_seconds: float = CACHE_SECONDS,
+        version: Callable[[], object] | None = None,
+        key: str = "id",
+        overlay_rows: int = OVERLAY_ROWS,
     ):
-        if refresh not in ("batch", "cached"):
+        if refresh not in ("batch", "cached", "version"):
             raise ValueError(f"unknown refresh {refresh!r}")
+        if (refresh == "version") != (version is not None):
+            raise ValueError("version() is for refresh='version', which needs it")
         self._reader = reader
         self._refresh = refresh
         self._ttl = ttl_seconds
+        self._version = version
+        self._key = key
+        self._overlay_rows = overlay_rows
         self._frame: DataFrame | None = None
-        self._read_at = 0.0
+        self._keys: DataFrame | None = None
+        self._rows: DataFrame | None = None
+        self._read_at: object = 0.0
 
     def frame(self) -> DataFrame:
         if self._refresh == "batch":
             return self._reader()
-        if self._frame is not None and time.monotonic() - self._read_at >= self._ttl:
+        # asked before the read: a change that comes between is then seen the next time
+        version = self._version() if self._version else None
+        if self._frame is not None and self._stale(version):
             self.invalidate()
         if self._frame is None:
             self._frame = self._reader().persist()
-            self._read_at = time.monotonic()
-        return self._frame
+            self._read_at = version if self._version else time.monotonic()
+        if self._keys is None:
+            return self._frame
+        return self._overlaid()
+
+    def _stale(self, version: object) -> bool:
+        if self._version:
+            return version != self._read_at
+        return time.monotonic() - self._read_at >= self._ttl
 
     def invalidate(self) -> None:
-        """Forget the cached rows, after an update of the source."""
-        if self._frame is not None:
-            self._frame.unpersist()
-            self._frame = None
+        """Forget the kept rows, after an update of the source."""
+        for kept in (self._frame, self._keys, self._rows):
+            if kept is not None:
+                kept.unpersist()
+        self._frame = self._keys = self._rows = None
+
+    def replace(self, keys: DataFrame, rows: DataFrame) -> None:
+        """Let ``rows`` stand for all kept rows whose key is in ``keys`` (a column named like the key).
+
+        A key without a row is gone from the dimension. ``rows`` with other keys are not taken. The replaced
+        keys are kept beside the rest, and merged with it once there are more than ``overlay_rows``. Where
+        nothing is kept this does nothing: the next use reads the source.
+        """
+        if self._frame is None:
+            return
+        name = self._key
+        keys = keys.select(F.col(name).cast(self._frame.schema[name].dataType)).dropna().distinct()
+        rows = rows.select(self._frame.columns).join(keys, name, "left_semi")
+        if self._keys is not None:
+            rows = rows.unionByName(self._rows.join(keys, name, "left_anti"))
+            keys = keys.unionByName(self._keys).distinct()
+        # written out: neither the sources of the changes nor earlier overlays are asked again
+        before = self._keys, self._rows
+        self._keys, self._rows = stage(keys, "dimension-keys").persist(), stage(rows, "dimension-rows").persist()
+        for kept in before:
+            if kept is not None:
+                kept.unpersist()
+        if self._keys.count() > self._overlay_rows:
+            merged = stage(self._overlaid(), "dimension").persist()
+            read_at = self._read_at
+            self.invalidate()
+            self._frame, self._read_at = merged, read_at
+
+    def _overlaid(self) -> DataFrame:
+        """The kept rows without the replaced keys, and the rows that stand for them."""
+        return self._frame.join(self._keys, self._key, "left_anti").select(self._frame.columns).unionByName(self._rows)
 
 
 def _frame(dim: DataFrame | Dimension) -> DataFrame:

@@ -234,6 +234,11 @@ QUERIES = {
         from orders left join user_dim on id = o_custkey::varchar""",
     "dim_lookup_cached": """select o_orderkey, o_custkey, birthday, gender
         from orders left join user_dim on id = o_custkey::varchar""",
+    "dim_lookup_invalidated": """
+        select o_orderkey, o_custkey, birthday, gender from orders left join (
+          select c_custkey as key, strftime(date '1960-01-01' + (c_custkey * 7 % 16000)::int, '%Y-%m-%d') as birthday,
+            case when c_custkey % 10 = 6 then 'again' when c_custkey % 5 = 1 then 'changed' else c_mktsegment end as gender
+          from customer where c_custkey % 5 = 1 or (c_custkey % 5 <> 2 and c_custkey % 10 <> 0)) on key = o_custkey""",
     "dim_latest": "select user_id, change_id, gender from newest",
     "dim_lookup_fresh": """select o_orderkey, o_custkey, gender
         from orders left join newest on user_id = o_custkey::varchar""",
@@ -309,6 +314,7 @@ QUERIES |= {
         left join nation c on c.n_nationkey = p.p_size""",
     "stream_order_quarantine": QUERIES["order_quarantine"],
     "stream_cdc_quarantine": QUERIES["cdc_quarantine"],
+    "stream_dim_upsert": QUERIES["dim_latest"],
     "stream_cdc_route": """
         select case when source_table = 'user_info' then 'dim_user_info'
                when type = 'insert' then 'dwd_order_info'

@@ -87,6 +87,16 @@ def stream_topic(
     return reader.parquet(f"{root}/topic={topic}/*")
 
 
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """How many files a folder holds, at any depth, and when the newest was written: it changes with the table."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hadoop, True)
+    count = newest = 0
+    while files.hasNext():
+        count, newest = count + 1, max(newest, files.next().getModificationTime())
+    return count, newest
+
+
 def read_table(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/*")
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, deeper_page, in_utc
 from tidemark.operators.pattern import MATCH, TIMEOUT
@@ -19,6 +20,7 @@ from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
 from tidemark.sources.staging import new_path
+from tidemark.sources.upserts import KeyedTable
 from tidemark.streaming import jobs
 from tidemark.streaming.session import streaming_session
 
@@ -270,6 +272,30 @@ def stream_cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# The rows of a dimension table: the topic of the table, the key, and the newest change of it.
+DIM_ROWS = "topic string, key string, id bigint, value string"
+
+
+def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User changes, in several micro-batches, into a table that holds the newest row of each user."""
+    replay = Replay(spark, sf_dir)
+    raw = sample.user_changes(table(spark, sf_dir, "customer")).unionByName(
+        sample.later_user_changes(table(spark, sf_dir, "orders"))
+    )
+    # dealt without regard to order, so that older changes come after newer ones
+    step = F.pmod(F.xxhash64("id"), F.lit(STEPS))
+    raw.withColumn("step", step).repartition(STEPS, "step").write.partitionBy("step").parquet(replay.root("raw"))
+    dimension = KeyedTable(replay.root("dimension"), DIM_ROWS, ["topic", "key"], ["id"])
+
+    def begin(raw: DataFrame, sink, checkpoint: str) -> StreamingQuery:
+        rules = sample.routing_rules(spark)
+        return jobs.start_changes(raw, rules, sink, checkpoint, table_sinks={SinkType.HBASE: dimension.sink()})
+
+    replay.run("changes", begin, replay.raw())
+    gender = F.get_json_object("value", "$.gender").alias("gender")
+    return dimension.read(spark).select(F.col("key").alias("user_id"), F.col("id").alias("change_id"), gender)
+
+
 def _start_changes(replay: Replay):
     def begin(raw: DataFrame, sink, checkpoint: str, rules: DataFrame):
         tables = {SinkType.HBASE: files.topic_sink(replay.root("tables"))}
@@ -291,6 +317,7 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_order_wide_dims,
         stream_order_quarantine,
         stream_cdc_route,
+        stream_dim_upsert,
         stream_cdc_quarantine,
     )
 }
