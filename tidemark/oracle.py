@@ -172,6 +172,8 @@ def _with(query: str) -> str:
             words |= set(VIEWS[name].replace("(", " ").replace(")", " ").replace(",", " ").split())
     if not needed:
         return query
+    if query.lstrip().startswith("with "):  # a query with views of its own
+        query = ", " + query.lstrip()[len("with ") :]
     return "with " + ", ".join(f"{n} as ({VIEWS[n]})" for n in VIEWS if n in needed) + " " + query
 
 
@@ -301,6 +303,19 @@ QUERIES |= {
     "stream_unique_visits": "select id, mid, is_new, ts from uv",
     "stream_page_pattern": "select * exclude (next_page) from outcomes where outcome is not null",
     "stream_bounces_6h": "select id, mid, is_new, ts from jump6h",
+    "stream_late_rows": """
+        with pages as (
+          select *, coalesce(last_page_id, '') = '' as is_entry, id % 10 = 7 as held_back from raw where event_type <> 'signup'),
+        measures as (
+          select held_back, ts, vc, ch, ar, is_new, 0::bigint as uv_ct, 1::bigint as pv_ct, is_entry::bigint as sv_ct,
+            0::bigint as uj_ct, during_time as dur_sum from pages
+          union all select held_back, ts, vc, ch, ar, is_new, 1, 0, 0, 0, 0 from pages
+          union all select held_back, ts, vc, ch, ar, is_new, 0, 0, 0, 1, 0 from pages)
+        select 'late' as kind, null as stt, * exclude (held_back) from measures where held_back
+        union all
+        select 'sum', strftime(make_timestamp(ts // 86400000 * 86400000000), '%Y-%m-%d %H:%M:%S'), null, vc, ch, ar, is_new,
+          sum(uv_ct)::bigint, sum(pv_ct)::bigint, sum(sv_ct)::bigint, sum(uj_ct)::bigint, sum(dur_sum)::bigint
+        from measures where not held_back group by 2, vc, ch, ar, is_new""",
     "stream_visitor_stats_1d": _stats("measures6h", 86_400_000),
     "stream_order_wide_user": QUERIES["order_wide_user"],
     "stream_order_wide_dims": f"""

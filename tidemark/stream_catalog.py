@@ -191,6 +191,41 @@ def stream_visitor_stats_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, sums, schema).where(F.col("ar") != sample.CLOSING)
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of a day, and the measures of every tenth page, which comes when all windows are closed.
+
+    The same pages stand for all three topics.
+    """
+    replay = Replay(spark, sf_dir)
+    held_back = F.col("event_id") % 10 == 7
+
+    def pages(events: DataFrame) -> DataFrame:
+        return sample.log_records(events.where(F.col("event_type") != "signup"))
+
+    last = replay.steps(lambda events: pages(events.where(~held_back)).coalesce(1))
+    # the watermark of a batch is that of the rows before it, and rows are late by the one before that
+    for step, closing in enumerate((0, 30, None, 60), STEPS):
+        days = (closing or 0) * DAY_MS
+        records = pages(table(spark, sf_dir, "events").where(held_back)) if closing is None else sample.closing_records(spark, last + days)
+        records.coalesce(1).write.parquet(f"{replay.root('raw')}/step={step}")
+    query = jobs.start_visitor_stats(
+        replay.raw(), replay.raw(), replay.raw(),
+        sink=files.table_sink(replay.root("sums")),
+        checkpoint=f"{replay.home}/check",
+        window="1 day",
+        late=files.topic_sink(replay.root("late")),
+    )
+    query.awaitTermination()
+    sums = files.read_table(spark, replay.root("sums"), f"stt string, {STATS}").select(F.lit("sum").alias("kind"), "stt", F.lit(None).cast("bigint").alias("ts"), *STATS_COLUMNS)
+    late = replay.arrived("late", QUARANTINE_TOPIC).select(F.from_json("value", f"ts bigint, {STATS}").alias("row"))
+    late = late.select(F.lit("late").alias("kind"), F.lit(None).cast("string").alias("stt"), "row.ts", *[f"row.{c}" for c in STATS_COLUMNS])
+    return sums.unionByName(late).where(F.col("ar") != sample.CLOSING)
+
+
+STATS_COLUMNS = ("vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
+STATS = ", ".join(f"{c} {'bigint' if c.endswith(('_ct', '_sum')) else 'string'}" for c in STATS_COLUMNS)
+
+
 def stream_order_wide_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
     replay.run(
@@ -313,6 +348,7 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_bounces_6h,
         stream_page_pattern,
         stream_visitor_stats_1d,
+        stream_late_rows,
         stream_order_wide_user,
         stream_order_wide_dims,
         stream_order_quarantine,

@@ -19,6 +19,7 @@ from tidemark.operators.skew import ROWS_PER_TASK, hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
 from tidemark.plans import jobs
 from tidemark.schemas import SinkType, Topic
+from tidemark.streaming.late import beside, in_time, late_records, late_watermark
 from tidemark.streaming.visits import TTL_MS, opened, with_openings
 
 Sink = Callable[[DataFrame, int], None]
@@ -191,21 +192,16 @@ def start_pattern(
     return start(records, sink, checkpoint, **options)
 
 
-def visitor_stats(
-    page_records: DataFrame,
-    visit_records: DataFrame,
-    bounce_records: DataFrame,
-    window: str = stats.WINDOW,
-    watermark: str = stats.WATERMARK,
+def visitor_measures(
+    page_records: DataFrame, visit_records: DataFrame, bounce_records: DataFrame, watermark: str = stats.WATERMARK
 ) -> DataFrame:
-    """Windowed visitor statistics of the three topics, each with a watermark of its own."""
+    """The measures of the three topics, each with a watermark of its own."""
     parts = (
         stats.page_measures(parse_pages(page_records)),
         stats.unique_visit_measures(parse_pages(visit_records)),
         stats.bounce_measures(parse_pages(bounce_records)),
     )
-    measures = stats.union_measures(*(stats.with_watermark(part, watermark) for part in parts))
-    return stats.visitor_stats(measures, window, watermark)
+    return stats.union_measures(*(stats.with_watermark(part, watermark) for part in parts))
 
 
 def start_visitor_stats(
@@ -216,10 +212,28 @@ def start_visitor_stats(
     checkpoint: str,
     window: str = stats.WINDOW,
     watermark: str = stats.WATERMARK,
+    late: Sink | None = None,
     **options,
 ) -> StreamingQuery:
-    sums = visitor_stats(page_records, visit_records, bounce_records, window, watermark)
-    return start(sums, sink, checkpoint, **options)
+    """Windowed visitor statistics.
+
+    ``late`` gets, as quarantine records, the measures that came behind the watermark and are in no sum; the
+    topics are read twice for it. Without it such rows are dropped unseen.
+    """
+    measures = visitor_measures(page_records, visit_records, bounce_records, watermark)
+    sums = stats.visitor_stats(measures, window, watermark)
+    if late is None:
+        return start(sums, sink, checkpoint, **options)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()  # a second look would run the windows again
+        try:
+            sink(in_time(rows), batch_id)
+            late(late_records(rows, late_watermark(rows.sparkSession, checkpoint, batch_id)), batch_id)
+        finally:
+            rows.unpersist()
+
+    return start(beside(sums, measures, window), batch, checkpoint, **options)
 
 
 # Order job
