@@ -20,17 +20,31 @@ def parse_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     through a one-row generator: without it the optimizer copies the parse into every filter
     it pushes down, and each text is parsed twice or more.
     """
-    marked = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":1}}]'))
-    read = F.from_json(marked, f"array<struct<{_members(schema)}, {_END}:int>>")
+    alone = F.transform(F.array(_marked(schema, value)), lambda r: F.when(_is_alone(r), F.get(r, F.lit(0))))
+    return df.select("*", F.inline(alone)).drop(_END)
+
+
+def read_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """As :func:`parse_json`, with the members in the struct ``read``: null unless the text is one object, which may be empty."""
     alone = F.transform(
-        F.array(read), lambda r: F.when((F.size(r) == 2) & (F.get(r, F.lit(1))[_END] == 1), F.get(r, F.lit(0)))
+        F.array(_marked(schema, value)), lambda r: F.struct(F.when(_is_alone(r), F.get(r, F.lit(0))).alias("read"))
     )
-    return df.select("*", F.inline(alone)).drop(_END)
+    return df.select("*", F.inline(alone))
+
+
+def _marked(schema: str, value: str) -> Column:
+    marked = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":1}}]'))
+    return F.from_json(marked, f"array<struct<{_members(schema)}, {_END}:int>>")
+
+
+def _is_alone(read: Column) -> Column:
+    return (F.size(read) == 2) & (F.get(read, F.lit(1))[_END] == 1)
 
 
 def _members(schema: str) -> str:
     """The fields of a schema in the form of a struct type."""
-    return StructType.fromDDL(schema).simpleString()[len("struct<") : -1]
+    fields = StructType.fromDDL(schema).fields
+    return ",".join(f"`{f.name.replace('`', '``')}`:{f.dataType.simpleString()}" for f in fields)
 
 
 def as_long(text: Column) -> Column:

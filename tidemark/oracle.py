@@ -329,6 +329,10 @@ QUERIES |= {
         left join nation c on c.n_nationkey = p.p_size""",
     "stream_order_quarantine": QUERIES["order_quarantine"],
     "stream_cdc_quarantine": QUERIES["cdc_quarantine"],
+    "stream_table_source": """
+        select case when id % 7 <> 2 then id end as id, user_id, total_amount, order_status, null::bigint as record
+        from ord where id % 7 not in (0, 4, 5)
+        union all select null, null, null, null, id from ord where id % 7 in (0, 4, 5)""",
     "stream_dim_upsert": QUERIES["dim_latest"],
     "stream_cdc_route": """
         select case when source_table = 'user_info' then 'dim_user_info'

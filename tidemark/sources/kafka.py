@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.typed import rows, typed
 from tidemark.schemas import Topic
 from tidemark.sources.stamps import HEADERS, stamped, unrepeated
 
@@ -70,18 +71,20 @@ def read_topic(
     return once(spark.readStream.format("kafka").options(**with_headers(settings)).load(), deduplicate)
 
 
-def once(rows: DataFrame, delay: str) -> DataFrame:
+def once(arrived: DataFrame, delay: str) -> DataFrame:
     """Kafka rows with headers as records ``(id, value)``, each stamp once."""
-    records = arrival_id(rows, "headers", "timestamp")
+    records = arrival_id(arrived, "headers", "timestamp")
     return unrepeated(records, delay=delay).select("id", "value")
 
 
 def read_table(
     spark: SparkSession, servers: str, topic: str, group_id: str, schema: str, **options
 ) -> DataFrame:
-    """A topic of JSON texts as a stream of typed rows, from the newest offset on."""
-    records = read_topic(spark, servers, topic, group_id, **options)
-    return records.select(F.from_json("value", schema).alias("row")).select("row.*")
+    """A topic of JSON texts as a stream of typed rows, from the newest offset on.
+
+    Records that cannot be read as ``schema`` are left out; ``streaming.jobs.start_table`` keeps them.
+    """
+    return rows(typed(read_topic(spark, servers, topic, group_id, **options), schema))
 
 
 def outgoing(records: DataFrame) -> DataFrame:
@@ -105,7 +108,7 @@ def topic_sink(servers: str, query: str | None = None) -> Callable[[DataFrame, i
     """
 
     def send(records: DataFrame, batch_id: int) -> None:
-        rows = records if query is None else stamped(records, query, batch_id)
-        outgoing(rows).write.format("kafka").options(**sink_options(servers)).save()
+        sent = records if query is None else stamped(records, query, batch_id)
+        outgoing(sent).write.format("kafka").options(**sink_options(servers)).save()
 
     return send

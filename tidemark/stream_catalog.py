@@ -284,6 +284,27 @@ def stream_order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def stream_table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a typed table read from a topic of texts, some of them damaged; and the records that are no rows."""
+    replay = Replay(spark, sf_dir)
+    records = sample.damaged_records(sample.order_records(stream_table(replay.session, sf_dir, "orders")))
+    turn = F.col("id") % 7
+    worded = F.regexp_replace("value", '"total_amount":[0-9.]+', '"total_amount":"much"')
+    behind = F.concat(F.col("value"), F.lit(" []"))
+    value = F.when(turn == 4, worded).when(turn == 5, behind).otherwise(F.col("value"))
+    schema = "id bigint, user_id bigint, total_amount decimal(18,2), order_status string"
+    query = jobs.start_table(
+        records.withColumn("value", value), schema,
+        sink=files.table_sink(replay.root("rows")),
+        bad=files.topic_sink(replay.root("bad")),
+        checkpoint=f"{replay.home}/check",
+    )
+    query.awaitTermination()
+    arrived = files.read_table(spark, replay.root("rows"), schema).withColumn("record", F.lit(None).cast("bigint"))
+    bad = replay.arrived("bad", QUARANTINE_TOPIC).select(F.col("id").alias("record"))
+    return arrived.unionByName(bad, allowMissingColumns=True)
+
+
 def stream_cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
     raw = sample.order_changes(stream_table(replay.session, sf_dir, "orders")).unionByName(
@@ -353,6 +374,7 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_order_wide_dims,
         stream_order_quarantine,
         stream_cdc_route,
+        stream_table_source,
         stream_dim_upsert,
         stream_cdc_quarantine,
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators import bounce, cdc, logs, orders, pattern, stats
+from tidemark.operators import bounce, cdc, logs, orders, pattern, stats, typed
 from tidemark.operators.dims import Dimension
 from tidemark.operators.skew import ROWS_PER_TASK, hot_keys
 from tidemark.operators.visitors import NEW, apply_first_days
@@ -285,6 +285,22 @@ def start_quarantine(
     return start(orders.unusable(records, kind), sink, checkpoint, **options)
 
 
+def start_table(
+    records: DataFrame, schema: str, sink: Sink, bad: Sink, checkpoint: str, **options
+) -> StreamingQuery:
+    """A JSON topic as a typed table: rows to ``sink``, records that are no such rows to the quarantine of ``bad``."""
+
+    def batch(parsed: DataFrame, batch_id: int) -> None:
+        parsed = parsed.persist()
+        try:
+            sink(typed.rows(parsed), batch_id)
+            bad(typed.unreadable(parsed), batch_id)
+        finally:
+            parsed.unpersist()
+
+    return start(typed.typed(records, schema), batch, checkpoint, **options)
+
+
 # Change record job
 
 
