@@ -216,3 +216,15 @@ def test_logs_that_cannot_be_repaired_or_read_whole_are_quarantined(spark):
     out = sorted((r.id, r.topic, r.value == values[r.id]) for r in jobs.log_outputs(raw).collect())
     page, bad = "dwd_page_log", "quarantine"
     assert out == [(0, page, True), (1, page, True), (2, bad, True), (3, page, False), (4, bad, True), (5, page, True)]
+
+
+def test_page_jobs_rewrite_no_text_and_parse_it_once(rows):
+    """The plan of the page table: the log, the flags, and one look at logs to repair; nothing is written back."""
+    from tidemark.plans import jobs
+
+    raw = rows([(1, '{"common":{"mid":"a","is_new":"1"},"page":{"page_id":"p"},"ts":1}')], "id long, value string")
+    plan = jobs.page_table(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan
+    assert plan.lower().count("parsejson(") == 1
+    split = jobs.log_outputs(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert split.lower().count("parsejson(") == 1

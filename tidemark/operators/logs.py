@@ -48,15 +48,16 @@ def parse_flags(raw: DataFrame) -> DataFrame:
     return parse_json(raw.select("value"), LOG_FLAGS).select("common.*", day.alias("day"))
 
 
-def is_usable() -> Column:
+def is_usable(listed: Column | None = None) -> Column:
     """A log needs a device and a time, and a page unless it is a start log.
 
     A log whose displays cannot be read (one has a member twice), or whose flag had to be
-    repaired and could not be (``whole``), is not usable either: none of it may get lost.
+    repaired and could not be (``whole``), is not usable either: none of it may get lost. ``listed`` are the
+    displays, where they are parsed already.
     """
     return (
         F.col("whole")
-        & _displays_readable()
+        & _displays_readable(_displays() if listed is None else listed)
         & F.col("mid").isNotNull()
         & F.col("ts").isNotNull()
         & (F.col("is_start") | F.col("has_page"))
@@ -67,10 +68,10 @@ def _displays() -> Column:
     return F.from_json("displays", "array<variant>")
 
 
-def _displays_readable() -> Column:
+def _displays_readable(listed: Column) -> Column:
     """True unless ``displays`` begins like an array and is none."""
-    listed = F.coalesce(F.col("displays").startswith("["), F.lit(False))
-    return F.when(listed, _displays().isNotNull()).otherwise(True)
+    array = F.coalesce(F.col("displays").startswith("["), F.lit(False))
+    return F.when(array, listed.isNotNull()).otherwise(True)
 
 
 def page_logs(logs: DataFrame) -> DataFrame:
@@ -78,12 +79,12 @@ def page_logs(logs: DataFrame) -> DataFrame:
     return logs.filter(is_usable() & ~F.col("is_start"))
 
 
-def display_values() -> Column:
-    """The displays of a page log as JSON texts, each with the page id set on it.
+def display_values(listed: Column) -> Column:
+    """The parsed displays of a page log as JSON texts, each with the page id set on it.
 
     Elements that are not objects are no displays.
     """
-    displays = F.transform(_displays(), lambda d: F.try_variant_get(d, "$", OBJECT))
+    displays = F.transform(listed, lambda d: F.try_variant_get(d, "$", OBJECT))
 
     def render(display: Column) -> Column:
         tagged = with_entry(display, "page_id", text_variant(F.col("page_id")))
@@ -103,11 +104,14 @@ def split_log(logs: DataFrame, numbered: bool = False) -> DataFrame:
     def record(topic: str, value: Column) -> Column:
         return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
 
+    # parsed once, behind a generator
+    logs = logs.select("*", F.inline(F.array(F.struct(_displays().alias("_listed")))))
+    listed = F.col("_listed")
     value = F.col("value")
     page = F.array(record(Topic.PAGE, value))
-    displays = F.transform(display_values(), lambda text: record(Topic.DISPLAY, text))
+    displays = F.transform(display_values(listed), lambda text: record(Topic.DISPLAY, text))
     outputs = (
-        F.when(~is_usable(), F.array(record(QUARANTINE_TOPIC, value)))
+        F.when(~is_usable(listed), F.array(record(QUARANTINE_TOPIC, value)))
         .when(F.col("is_start"), F.array(record(Topic.START, value)))
         .when(F.col("displays").isNull(), page)
         .otherwise(F.concat(page, displays))

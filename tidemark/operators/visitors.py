@@ -11,6 +11,8 @@ from tidemark.operators.records import text_variant, with_entry
 from tidemark.operators.skew import ROWS_PER_TASK, hot_keys, join_table
 from tidemark.sources.staging import stage
 
+OBJECT = "map<string,variant>"
+
 NEW = "1"
 OLD = "0"
 
@@ -69,23 +71,24 @@ def apply_first_days(logs: DataFrame, first_days: DataFrame, hot: DataFrame) ->
         hot=hot.withColumnRenamed("mid", "_flagged"),
     )
     wrong = F.coalesce(F.col("day") != F.col("first_day"), F.lit(False))
-    # null for a text that does not bear rewriting (a member twice); it stays as it is, and is marked
-    text = F.when(wrong, _with_flag(F.col("value"), OLD)).otherwise(F.col("value"))
+    # The text is parsed for logs to repair alone, and once: behind a generator the optimizer does not copy the
+    # parse. It is null for a text that does not bear rewriting (a member twice); that stays as it is, and is marked.
+    parsed = F.inline(F.array(F.struct(F.when(wrong, F.try_parse_json("value")).alias("_doc"))))
+    checked = joined.select("*", parsed)
+    whole = F.try_variant_get("_doc", "$.common", OBJECT).isNotNull()
     repaired = {
         "is_new": F.when(wrong, F.lit(OLD)).otherwise(F.col("is_new")),
-        "value": F.coalesce(text, F.col("value")),
-        "whole": F.col("whole") & text.isNotNull(),
+        "value": F.when(wrong & whole, _with_flag(F.col("_doc"), OLD)).otherwise(F.col("value")),
+        "whole": F.col("whole") & (~wrong | whole),
     }
-    return joined.withColumns(repaired).select(*logs.columns)
+    return checked.withColumns(repaired).select(*logs.columns)
 
 
-def _with_flag(value: Column, flag: str) -> Column:
-    """The log text with ``common.is_new`` set; texts that need no change are not rewritten."""
-    doc = F.try_parse_json(value)
-    common = F.try_variant_get(doc, "$.common", "map<string,variant>")
+def _with_flag(doc: Column, flag: str) -> Column:
+    """The text of a parsed log with ``common.is_new`` set; texts that need no change are not rewritten."""
+    common = F.try_variant_get(doc, "$.common", OBJECT)
     flagged = F.to_variant_object(with_entry(common, "is_new", text_variant(F.lit(flag))))
-    whole = F.try_variant_get(doc, "$", "map<string,variant>")
-    return F.to_json(with_entry(whole, "common", flagged))
+    return F.to_json(with_entry(F.try_variant_get(doc, "$", OBJECT), "common", flagged))
 
 
 def unique_visits(pages: DataFrame) -> DataFrame:
