@@ -96,44 +96,102 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Sums are modulo this prime. Modulo a power of two, strings of a regular build (Thue-Morse words) would have
+# equal sums whatever the base.
+PRIME = np.uint64((1 << 61) - 1)
+_P = int(PRIME)
+_ONE, _SHIFT30, _SHIFT31, _SHIFT61 = (np.uint64(n) for n in (1, 30, 31, 61))
+_LOW30, _LOW31 = (np.uint64((1 << n) - 1) for n in (30, 31))
+
+
+# Places handled at once, so that intermediate results stay in the processor's cache.
+_PIECE = 1 << 14
+# Codes of bytes have as many bits, which makes their products cheaper.
+_CODE_BITS = 30
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers modulo the prime."""
+    x = (x & PRIME) + (x >> _SHIFT61)
+    return np.minimum(x, x - PRIME)  # the difference wraps round to a large number where it is negative
+
+
+def _times31(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 times 2^31, modulo the prime but not fully reduced: below 2^61 + 2^33."""
+    return (x >> _SHIFT30) + ((x & _LOW30) << _SHIFT31)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, from halves of 31 bits."""
+    high_a, low_a, high_b, low_b = a >> _SHIFT31, a & _LOW31, b >> _SHIFT31, b & _LOW31
+    # below 2^61 + (2^61 + 2^33) + 2^62
+    return _reduced(((high_a * high_b) << _ONE) + _times31(high_a * low_b + low_a * high_b) + low_a * low_b)
+
+
+def _coded(codes: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Products of codes of few bits with numbers below the prime."""
+    return _reduced(_times31((powers >> _SHIFT31) * codes) + (powers & _LOW31) * codes)
+
+
 class Rolling:
     """Hashes of any substring of a sequence of symbols, from one running sum.
 
-    The sum of ``code(symbol) * base ** position`` modulo 2^64 gives a substring's hash by one
+    The sum of ``code(symbol) * base ** position`` modulo a prime gives a substring's hash by one
     subtraction; the power of its start is divided out, so that equal strings hash alike
-    wherever they stand. ``seed`` picks the base and the codes of bytes.
+    wherever they stand. Two different strings of ``n`` symbols have equal hashes for at most ``n`` of the
+    2^61 bases. ``seed`` picks the base and the codes of bytes.
     """
 
     def __init__(self, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.codes = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
-        self.base = int(rng.integers(1 << 62, dtype=np.uint64)) * 8 + 5 & _MASK
+        self.codes = rng.choice(1 << _CODE_BITS, 256, replace=False).astype(np.uint64)
+        self.base = int(rng.integers(1 << 32, _P, dtype=np.uint64))
         self._powers = np.ones(1, np.uint64)
         self._inverse = np.ones(1, np.uint64)
 
     def _upto(self, n: int) -> None:
-        if len(self._powers) < n:
-            size = max(n, 2 * len(self._powers))
-            for name, base in (("_powers", self.base), ("_inverse", pow(self.base, -1, 1 << 64))):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
+        for name, base in (("_powers", self.base), ("_inverse", pow(self.base, -1, _P))):
+            powers = getattr(self, name)
+            while len(powers) < n:
+                step = np.full(1, pow(base, len(powers), _P), np.uint64)
+                powers = np.concatenate([powers, _product(powers, step)])
+            setattr(self, name, powers)
 
     def sums(self, symbols: np.ndarray) -> np.ndarray:
         """Running sums over bytes, or over 64-bit symbols that are well spread already."""
-        values = self.codes[symbols] if symbols.dtype == np.uint8 else symbols
-        self._upto(len(values) + 1)
-        out = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._powers[: len(values)], out=out[1:])
+        self._upto(len(symbols) + 1)
+        out = np.zeros(len(symbols) + 1, np.uint64)
+        for begin in range(0, len(symbols), _PIECE):
+            some = symbols[begin : begin + _PIECE]
+            powers = self._powers[begin : begin + len(some)]
+            terms = _coded(self.codes[some], powers) if some.dtype == np.uint8 else _product(_reduced(some), powers)
+            # halves are summed on their own, so that nothing wraps round
+            high, low = np.cumsum(terms >> _SHIFT31), np.cumsum(terms & _LOW31)
+            out[begin + 1 : begin + 1 + len(some)] = _reduced(_times31(high) + low + out[begin])
         return out
 
+    def _differences(self, above: np.ndarray, below: np.ndarray, power: np.ndarray, length) -> np.ndarray:
+        """Hashes from the sums at the ends of strings, with the power of their start divided out."""
+        apart = above - below
+        return mixed(_product(np.minimum(apart, apart + PRIME), power) + length)
+
     def hashes(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((sums[end] - sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+        out = np.empty(len(start), np.uint64)
+        for begin in range(0, len(start), _PIECE):
+            part = slice(begin, begin + _PIECE)
+            low, high = start[part], end[part]
+            out[part] = self._differences(sums[high], sums[low], self._inverse[low], (high - low).astype(np.uint64))
+        return out
 
     def windows(self, sums: np.ndarray, length: int) -> np.ndarray:
         """Hash of the window of ``length`` symbols at each position it fits."""
         n = max(0, len(sums) - length)
-        return mixed((sums[length:] - sums[:n]) * self._inverse[:n])
+        out = np.empty(n, np.uint64)
+        for begin in range(0, n, _PIECE):
+            end = min(n, begin + _PIECE)
+            below, above = sums[begin:end], sums[begin + length : end + length]
+            out[begin:end] = self._differences(above, below, self._inverse[begin:end], np.uint64(0))
+        return out
 
 
 def sliding(values: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
