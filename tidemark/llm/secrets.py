@@ -9,6 +9,7 @@ between the matches give their places.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 from tidemark.sources.staging import stage
 
 
+# Matches of a text whose places are summed together.
+_BLOCK = 256
+
+
 @dataclass(frozen=True)
 class Rule:
     """Matches of ``pattern`` from the left, without overlap, whose ``group`` has ``least`` characters."""
@@ -65,27 +70,48 @@ def _spans(text: Column, rule: Rule) -> Column:
         ),
     )
     nothing = F.array().cast("array<struct<start:long,stop:long>>")
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("found")),
-        lambda state, step: F.struct(
-            (state["at"] + step["gap"] + step["match"]).alias("at"),
-            F.when(
-                step["good"],
-                F.concat(
-                    state["found"],
-                    F.array(
-                        F.struct(
-                            (state["at"] + step["gap"]).alias("start"),
-                            (state["at"] + step["gap"] + step["match"]).alias("stop"),
-                        )
-                    ),
-                ),
-            ).otherwise(state["found"]).alias("found"),
-        ),
-        lambda state: state["found"],
-    )
-    return F.when(text.rlike(rule.pattern), walked).otherwise(nothing)
+
+    def placed(steps: Column) -> Column:
+        lengths = F.transform(steps, lambda step: step["gap"] + step["match"])
+        ends = F.zip_with(steps, _running(lengths), lambda step, stop: F.struct(step["good"], step["match"], stop.alias("stop")))
+        good = F.filter(ends, lambda end: end["good"])
+        return F.transform(good, lambda end: F.struct((end["stop"] - end["match"]).alias("start"), end["stop"].alias("stop")))
+
+    return F.when(text.rlike(rule.pattern), _bound(steps, placed)).otherwise(nothing)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where ``use`` names it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _sums(lengths: Column) -> Column:
+    """Running sums of a short array: each step copies those before."""
+    none = F.array().cast("array<long>")
+    last = lambda done: F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
+    return F.aggregate(lengths, none, lambda done, x: F.concat(done, F.array(last(done) + x)))
+
+
+def _running(lengths: Column) -> Column:
+    """Running sums of a long array, from those of its blocks and of the blocks' own sums."""
+
+    def of(lengths: Column) -> Column:
+        count = F.ceil(F.size(lengths) / _BLOCK).cast("int")
+        numbers = F.filter(F.sequence(F.lit(0), count), lambda b: b < count)
+        blocks = F.transform(numbers, lambda b: _sums(F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))))
+        return _bound(blocks, joined)
+
+    def joined(blocks: Column) -> Column:
+        ends = _sums(F.transform(blocks, lambda block: F.element_at(block, -1)))
+        before = F.concat(F.array(F.lit(0).cast("long")), ends)
+        # one element more than blocks: the last pairs with null and is cut off
+        return F.flatten(
+            F.slice(
+                F.zip_with(blocks, before, lambda block, low: F.transform(block, lambda x: x + low)), F.lit(1), F.size(blocks)
+            )
+        )
+
+    return _bound(lengths, of)
 
 
 def blobs(docs: DataFrame) -> DataFrame:
