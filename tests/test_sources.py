@@ -93,3 +93,15 @@ def test_staged_tables_can_be_released(spark, rows):
     assert os.path.isdir(folder)
     staging.release(spark)
     assert not os.path.exists(folder)
+
+
+def test_a_local_session_without_a_folder_gets_one():
+    class Session:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "local[2]"})
+
+    first = staging.shared_dir(Session)
+    assert os.path.isdir(first) and staging.shared_dir(Session) == first
+    Session.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        staging.shared_dir(Session)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# The folder of local sessions without the setting, which a running session does not take.
+_local: list[str] = []
 # Paths made by this process in the shared folder, and those of the scope a thread is in.
 _made: list[str] = []
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
@@ -26,8 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
     if folder is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = _local[0]
     return folder
 
 
