@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -84,6 +85,20 @@ def base_spans(text):
     return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(out))
 
 
+def test_quality_has_a_reference_for_every_language_but_rare_ones(spark):
+    rng = random.Random(3)
+    # a language of its own alphabet each, far from all others
+    text = lambda k: " ".join(rng.choice("abcdefgh") * rng.randint(2, 8) if k % 2 else chr(0x4E00 + k) * 6 for _ in range(120))
+    rows = [(100 * k + i, text(k), f"l{k}") for k in range(80) for i in range(15)] + [(9000, "9 " * 40 + ". " * 300 + " ".join(f"Q{i}" for i in range(99)), "rare")]
+    rows += [(9001, rows[-1][1] + " more", "l1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(quality.rules(docs, percent=101).langs) == 80
+    out = {r.doc_id: r for r in quality.judge(docs, percent=101).collect()}
+    assert all(r.kept and r.class_distance is not None for i, r in out.items() if i < 9000)
+    assert out[9000].kept and out[9000].class_distance is None and out[9000].common_distance is None
+    assert out[9001].class_distance > quality.MAX_CLASS_DISTANCE and not out[9001].kept
+
+
 @pytest.mark.parametrize("table", TABLES)
 def test_secret_spans_equal_brute_force(spark, request, table):
     docs = request.getfixturevalue(table).select("doc_id", "text")

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.texts import Rolling, blocks, word_spans
+from tidemark.sources.staging import stage
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -25,8 +27,9 @@ MAX_COMMON_DISTANCE = 0.42
 MIN_COMMON_WORDS = 100
 # Percent of symbols among the characters of words up to which a document counts for a reference.
 MAX_REFERENCE_SYMBOLS = 2
-# Languages with the most documents become references; the others are judged by these.
-MAX_LANGUAGES = 64
+# A language becomes a reference with one in so many of all documents that count, which bounds the references by this number.
+# Documents of a language without one have no distance.
+REFERENCE_SHARE = 1000
 
 # Frequent function words of four languages.
 COMMON_WORDS = """
@@ -157,11 +160,11 @@ def _distance(counts: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.where(counts.sum(1) > 0, best, 0.0)
 
 
-def references(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = MAX_REPEAT_PERCENT) -> list[np.ndarray]:
-    """Class and common-word shares of the most frequent languages, a row each.
+def references(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = MAX_REPEAT_PERCENT) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Names of the languages, and their class and common-word shares, a row each.
 
     Sums run over all documents that pass the base rules and have few symbols; documents without ``lang`` count as
-    one language more. What comes to the driver has at most ``MAX_LANGUAGES`` times 110 numbers.
+    one language more. What comes to the driver has at most ``REFERENCE_SHARE`` times 110 numbers.
     """
 
     def run(batches):
@@ -184,10 +187,13 @@ def references(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = MAX_R
     parts = docs.mapInArrow(run, "lang string, counts array<long>")
     width = len(_CLASSES) + len(set(COMMON_WORDS)) + 2
     sums = parts.groupBy("lang").agg(*(F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(width)))
-    rows = sums.orderBy(F.desc("c0"), "lang").limit(MAX_LANGUAGES).collect()
+    sums = stage(sums, "references")
+    total = sums.agg(F.coalesce(F.sum("c0"), F.lit(0))).first()[0]
+    rows = sums.where((F.col("c0") > 0) & (REFERENCE_SHARE * F.col("c0") >= total)).orderBy("lang").collect()
     counts = np.array([tuple(r)[2:] for r in rows], float).reshape(len(rows), width - 1)
     split = len(_CLASSES)
-    return [x / np.maximum(x.sum(1, keepdims=True), 1) for x in (counts[:, :split], counts[:, split:])]
+    shares = [x / np.maximum(x.sum(1, keepdims=True), 1) for x in (counts[:, :split], counts[:, split:])]
+    return [r[0] for r in rows], *shares
 
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -196,8 +202,8 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 class Rules:
     """The limits, and the references they hold a document against."""
 
-    def __init__(self, found: list[np.ndarray], min_words: int, percent: int, max_class: float, max_common: float):
-        self.found = found
+    def __init__(self, found: tuple[list[str], np.ndarray, np.ndarray], min_words: int, percent: int, max_class: float, max_common: float):
+        self.langs, *self.found = found
         self.limits = (min_words, percent)
         self.distances = (max_class, max_common)
         self.measures = Measures()
@@ -207,8 +213,11 @@ class Rules:
         classes, common = self.measures.histograms(block)
         failed = _failed(out, *self.limits)
         out["base_failed"] = failed
-        out["class_distance"] = _distance(classes, self.found[0])
-        out["common_distance"] = _distance(common, self.found[1])
+        judged = pc.is_in(block.column("lang").cast(pa.string()).fill_null(""), pa.array(self.langs, pa.string()))
+        judged = judged.to_numpy(zero_copy_only=False)
+        # no number compares as far
+        out["class_distance"] = np.where(judged, _distance(classes, self.found[0]), np.nan)
+        out["common_distance"] = np.where(judged, _distance(common, self.found[1]), np.nan)
         far = (out["class_distance"] > self.distances[0]) & (classes.sum(1) >= MIN_CLASS_CHARS)
         far |= (out["common_distance"] > self.distances[1]) & (common.sum(1) >= MIN_COMMON_WORDS)
         out["kept"] = ~failed & ~far
@@ -221,7 +230,8 @@ def rules(
 ) -> Rules:
     """The rules with references of ``docs`` (columns ``text`` and ``lang``).
 
-    Without any document that can count for a reference the distances are not judged.
+    A document is held against the nearest reference, unless its own language has none: then, as in a table without
+    any document that can count for one, its distances are null and not judged.
     """
     texts = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
     return Rules(references(texts, min_words, percent), min_words, percent, max_class, max_common)
@@ -244,10 +254,10 @@ def judge(docs: DataFrame, **options) -> DataFrame:
         for batch in batches:
             for block in blocks(batch):
                 found = held.verdicts(block)
-                columns = [block.column("doc_id"), *map(pa.array, found.values())]
+                columns = [block.column("doc_id"), *(pa.array(x, from_pandas=True) for x in found.values())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *found])
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     return narrow.mapInArrow(run, f"doc_id long, {_VERDICT}")
 
 
