@@ -212,3 +212,13 @@ def test_patience_keeps_order_and_grows_blocks():
     # a block of short lines (even numbers) stays
     assert line_dedup.common_blocks([4, 6, 9], [4, 6, 11]) == []
     assert line_dedup.common_blocks([4, 7, 9], [4, 7, 11]) == [0, 1]
+
+
+def test_copies_of_texts_of_short_lines(spark):
+    short = "\n".join(f"line {i}" + "\n" * (i % 7 == 0) for i in range(40))
+    rows = [(1, short), (2, short), (3, short + "\nline 40"), (4, "yes"), (5, "yes"), (6, "\n" + short + "\n")]
+    out = {r.doc_id: r for r in line_dedup.remove_common(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.text for i, r in out.items() if i not in (2, 6)} == {i: t for i, t in rows if i not in (2, 6)}
+    assert out[2].text == "" and out[2].n_deleted == out[2].n_lines
+    # blank lines around the copy belong to no block
+    assert not out[6].text.strip() and out[6].n_deleted == out[2].n_deleted

@@ -2,7 +2,7 @@
 
 Documents meet under keys: each long line, each two filled lines in a row of which one is long, each
 run of short lines from one long line (or border of the document) to the next, and all filled lines of
-the document. Under each key, however many documents have it, a document is paired with the first one
+the document (which need no long line among them, if they have its bytes together). Under each key, however many documents have it, a document is paired with the first one
 that has it, never with all of them, so a key adds at most one pair a document; the keys of several
 lines lead to a document that holds the lines in that order where the first holder of a line does not.
 A pair is aligned by patience diff over line hashes: lines that occur once in both anchor the alignment,
@@ -46,7 +46,7 @@ def _lines(block, rolling: Rolling, least: int):
 
 
 def line_hashes(docs: DataFrame, least: int = MIN_LINE_BYTES) -> DataFrame:
-    """``doc_id``, ``text_hash`` and the hashes of the ``lines`` of each distinct document."""
+    """``doc_id``, ``text_hash``, the hashes of the ``lines`` of each distinct document, and whether it has ``least`` bytes."""
 
     def run(batches):
         rolling = Rolling(3)
@@ -55,10 +55,11 @@ def line_hashes(docs: DataFrame, least: int = MIN_LINE_BYTES) -> DataFrame:
                 hashes, count = _lines(block, rolling, least)
                 offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))
-                columns = [block.column("doc_id"), block.column("text_hash"), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "lines"])
+                filled = np.concatenate([[0], np.cumsum(~_BLANK[block.data])])[block.offsets]
+                columns = [block.column("doc_id"), block.column("text_hash"), lists, pa.array(np.diff(filled) >= least)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "lines", "wide"])
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, lines array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, lines array<long>, wide boolean")
 
 
 def _runs(line: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, rolling: Rolling) -> np.ndarray:
@@ -93,7 +94,8 @@ def _keys(lines: DataFrame) -> DataFrame:
             far = (marks > 0) & (high - low - marks >= 2)
             low, high = low[far], high[far]
             # all lines of a document
-            whole = np.add.reduceat(long.astype(np.int64), border) > 0 if len(doc) else border > 0
+            whole = batch.column(3).to_numpy(zero_copy_only=False)[doc[border]]
+            whole |= np.add.reduceat(long.astype(np.int64), border) > 0 if len(doc) else whole
             low, high = np.concatenate([two, low, border[whole]]), np.concatenate([two + 2, high, end[whole]])
             key = np.concatenate([line[at], _runs(line, doc, low, high, rolling)])
             owner = np.concatenate([doc[at], doc[low]])
@@ -179,14 +181,15 @@ def patience(earlier: list[int], later: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(earlier: list[int], later: list[int]) -> list[int]:
-    """Lines of ``later`` in aligned blocks that hold a long line."""
+def common_blocks(earlier: list[int], later: list[int], wide: bool = False) -> list[int]:
+    """Lines of ``later`` in aligned blocks that hold a long line; with ``wide``, also in one of all its filled lines."""
     out: list[int] = []
+    filled = sum(line != 0 for line in later)
     block: list[int] = []
     before = (-2, -2)
     for a, b in [*patience(earlier, later), (-9, -9)]:
         if (a - 1, b - 1) != before:
-            if any(later[i] & 1 for i in block):
+            if any(later[i] & 1 for i in block) or (wide and sum(later[i] != 0 for i in block) == filled):
                 out += block
             block = []
         block.append(b)
@@ -206,11 +209,11 @@ def deletions(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None = N
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                found = [common_blocks(a, b) for a, b in zip(rows.column(3).to_pylist(), rows.column(2).to_pylist())]
+                found = [common_blocks(a, b, wide) for b, a, wide in zip(*(rows.column(k).to_pylist() for k in (2, 3, 4)))]
                 columns = [rows.column(0), rows.column(1), pa.array(found, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "deleted"])
 
-    aligned = both.select("doc_id", "text_hash", "lines", "theirs").mapInArrow(
+    aligned = both.select("doc_id", "text_hash", "lines", "theirs", "wide").mapInArrow(
         run, "doc_id long, text_hash long, deleted array<int>"
     )
     found = aligned.where(F.size("deleted") > 0).groupBy("doc_id", "text_hash")
@@ -221,7 +224,8 @@ def remove_common(docs: DataFrame, least: int = MIN_LINE_BYTES, rare: int | None
     """``docs`` with the aligned common blocks cut from ``text``, and ``n_lines`` and ``n_deleted``.
 
     ``n_lines`` and ``n_deleted`` take the place of columns of these names. Lines end at ``\\n``; a null
-    text has none and stays null, an empty one has one blank line. Rows without ``doc_id`` stay as they are. Documents are judged on the input, not on what is left.
+    text has none and stays null, an empty one has one blank line. A block needs a line of ``least`` bytes, but for copies
+    of whole texts, which need as many together. Rows without ``doc_id`` stay as they are. Documents are judged on the input, not on what is left.
     """
     keyed = docs.withColumn("__tidemark_text", F.xxhash64("text"))
     narrow = keyed.select(
