@@ -113,6 +113,9 @@ def interval_join(
     Besides the order id the join has a time cell as key: a detail is in one cell, an order
     in the one or two cells its interval touches. So a pair meets once, an id holding a large
     part of the rows is spread over its cells, and pairs far apart in time are never formed.
+
+    Tables are joined by a shuffle: the optimizer's estimate of parsed records is far below their size, and
+    by it all orders would be sent through the driver.
     """
     cell = max(2 * (upper_ms - lower_ms), 1000)
 
@@ -135,6 +138,8 @@ def interval_join(
     left = left.withColumn("o_cell", F.explode(F.sequence(first, last, F.lit(cell).cast("bigint"))))
     right = prefixed(details.filter(F.col("order_id").isNotNull()), "d_")
     right = right.withColumn("d_cell", cell_of(F.col("d_create_ts")))
+    if not (orders.isStreaming or details.isStreaming):
+        left = left.hint("merge")
 
     return left.join(
         right,
