@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import age_years
 from tidemark.operators import dims, orders
+from tidemark.operators.skew import plan_bytes
 from tidemark.plans import jobs
 from tidemark.schemas import ORDER_WIDE_FIELDS, RECORD
 
@@ -180,3 +181,29 @@ def test_merge_takes_the_first_value(rows):
         ],
         key=repr,
     )
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orders_are_not_sent_through_the_driver(rows):
+    left = rows([(1, T0), (2, T0)], "id bigint, create_ts bigint")
+    right = rows([(10, 1, T0), (20, 2, T0 + 6)], "id bigint, order_id bigint, create_ts bigint")
+    joined = orders.interval_join(left, right)
+    assert "BroadcastHashJoin" not in plan_of(joined)
+    assert rows(joined.select("o_id", "d_id")) == [(1, 10)]
+
+
+def test_a_dimension_larger_in_memory_than_the_limit_is_not_broadcast(spark, rows, tmp_path):
+    spark.range(2000).selectExpr("string(id) as id", "concat('n', id) as name").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    facts = rows([(1, "5"), (2, "nobody"), (3, None)], "fact bigint, of string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * plan_bytes(dim)))
+    try:
+        filled = dims.enrich(facts, dim, {"of": "id"}, {"name": "name"}, unique=True)
+        assert "BroadcastHashJoin" not in plan_of(filled)
+        assert rows(filled) == [(1, "5", "n5"), (2, "nobody", None), (3, None, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys, join_table
+from tidemark.operators.skew import FILE_EXPANSION, hot_keys, join_table
 from tidemark.sources.staging import stage
 
 CACHE_SECONDS = 24 * 60 * 60
@@ -167,7 +167,7 @@ def enrich(
     )
     plain = facts.withColumns({k: F.col(f).cast("string") for k, (f, _) in keys.items()})
     hot = None if rows_per_task is None else hot_keys(plain, list(keys), rows_per_task)
-    joined = join_table(plain, table, list(keys), "left", hot)
+    joined = join_table(plain, table, list(keys), "left", hot, FILE_EXPANSION)
 
     kinds = dict(facts.dtypes)
     filled = {}
