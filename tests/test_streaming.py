@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import bounce, orders, visitors
 from tidemark.plans import jobs as batch_jobs
 from tidemark.schemas import RECORD, Topic
-from tidemark.sources import files
+from tidemark.sources import files, sample_tables as sample
+from tidemark.stream_catalog import STEPS, Replay
 from tidemark.streaming import jobs
 from tidemark.streaming.session import streaming_session
 
@@ -278,3 +279,45 @@ def test_late_rows_arrive_once(spark, session, home):
     for measure in ("uv_ct", "pv_ct", "uj_ct"):
         assert sum(r[measure] for r in late) + sums.agg(F.sum(measure)).first()[0] == sum(map(len, steps)) - 1  # the last is open
     assert dropped > 0 and 7 in {r["dur_sum"] for r in late if r["pv_ct"]}
+
+
+def test_a_part_of_a_replay_is_one_micro_batch(spark, rows, tmp_path):
+    times = [(i, f"2024-01-{1 + i // 10:02d} 00:{i % 10:02d}:00", i % 3, "view", 1.0, '{"k": 1}') for i in range(80)]
+    events = rows(times, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    events = events.withColumn("ts", F.to_timestamp_ntz("ts")).repartition(4)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    replay = Replay(spark, str(tmp_path))
+    parts, _ = replay.steps(sample.log_records)
+    batches = []
+    for add in parts:
+        add()
+        sink = lambda records, batch_id: batches.append((batch_id, records.count()))
+        jobs.start(replay.raw(), sink, f"{replay.home}/check").awaitTermination()
+    assert [batch for batch, _ in batches] == list(range(STEPS))
+    assert sum(count for _, count in batches) == 80
+
+
+def test_orders_and_details_are_replayed_up_to_the_same_times(spark, rows, tmp_path):
+    day = "date_add(date'2024-01-01', cast({} as int))"
+    orders = spark.range(60).selectExpr(
+        "id as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "1.0d as o_totalprice",
+        f"if(id = 7, null, to_timestamp_ntz({day.format('id')})) as o_orderdate",
+    )
+    lines = spark.range(60).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "2.0d as l_quantity", "3.0d as l_extendedprice",
+        f"if(id = 9, null, to_timestamp_ntz({day.format('2 * id')})) as l_shipdate",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    replay = Replay(spark, str(tmp_path))
+    *_, parts = replay.timed_orders()
+    for add in parts:
+        add()
+    at = {"orders": "o_orderdate", "lines": "l_shipdate"}
+    written = {k: spark.read.parquet(replay.root(k)).select("step", F.col(c).alias("at")) for k, c in at.items()}
+    assert {k: w.count() for k, w in written.items()} == {"orders": 60, "lines": 60}
+    both = written["orders"].unionByName(written["lines"])
+    edges = rows(both.groupBy("step").agg(F.min("at"), F.max("at")))
+    edges.sort()
+    assert len(edges) > 2
+    assert all(one[2] < two[1] for one, two in zip(edges, edges[1:]))

@@ -6,7 +6,8 @@ rows are used up, and gives what arrived.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
-from tidemark.sources.staging import new_path
+from tidemark.sources.staging import new_path, stage
 from tidemark.sources.upserts import KeyedTable
 from tidemark.streaming import jobs
 from tidemark.streaming.session import streaming_session
@@ -30,8 +31,11 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-# Parts a table of events is replayed in, at least.
+# Parts a table of events is replayed in, and those of orders.
 STEPS = 4
+ORDER_STEPS = 8
+
+Parts = Sequence[Callable[[], None] | None]
 
 
 class Replay:
@@ -46,9 +50,17 @@ class Replay:
     def root(self, job: str) -> str:
         return f"{self.home}/{job}"
 
-    def run(self, job: str, begin, *sources: DataFrame, **options) -> None:
+    def run(self, job: str, begin, *sources: DataFrame, parts: Parts = (None,), **options) -> None:
+        """Run a job until its sources are used up.
+
+        With ``parts``, each of which adds to the sources, it is started again from its checkpoint after each: a part is one
+        micro-batch that all tasks read, however many files it has.
+        """
         sink = files.topic_sink(self.root(job))
-        begin(*sources, sink=sink, checkpoint=f"{self.home}/check-{job}", **options).awaitTermination()
+        for add in parts:
+            if add:
+                add()
+            begin(*sources, sink=sink, checkpoint=f"{self.home}/check-{job}", **options).awaitTermination()
 
     def stream(self, job: str, topic: str) -> DataFrame:
         return files.stream_topic(self.session, self.root(job), topic)
@@ -56,28 +68,33 @@ class Replay:
     def arrived(self, job: str, topic: str) -> DataFrame:
         return files.read_topic(self.spark, self.root(job), topic)
 
-    def logs(self) -> None:
-        """The log job over ``events`` in time order, in ``STEPS`` parts or more micro-batches, and
-        over the closing records."""
-        last = self.steps(sample.log_records)
-        closing = sample.closing_records(self.spark, last)
-        closing.coalesce(1).write.parquet(f"{self.root('raw')}/step={STEPS}")
-        self.run("logs", jobs.start_logs, self.raw())
-
-    def steps(self, records) -> int:
-        """``events`` as raw records in ``STEPS`` parts, in time order; gives the last time."""
+    def logs(self, then: Callable[[], None] | None = None) -> None:
+        """The log job over ``events`` in time order, in ``STEPS`` micro-batches, and
+        over the closing records. ``then`` runs what reads its topics, after each of them."""
+        parts, last = self.steps(sample.log_records)
+        parts.append(self.part("raw", STEPS, lambda: sample.closing_records(self.spark, last)))
+        for part in parts:
+            self.run("logs", jobs.start_logs, self.raw(), parts=[part])
+            if then:
+                then()
+
+    def part(self, source: str, step: int, rows: Callable[[], DataFrame]) -> Callable[[], None]:
+        return lambda: rows().write.parquet(f"{self.root(source)}/step={step}")
+
+    def steps(self, records) -> tuple[list[Callable[[], None]], int]:
+        """``events`` as raw records in ``STEPS`` parts, in time order; and the last time."""
         events = table(self.spark, self.sf_dir, "events").withColumn("at", F.unix_millis(F.col("ts").cast("timestamp")))
         edges = events.approxQuantile("at", [i / STEPS for i in range(1, STEPS)], 0.05)
         last = events.agg(F.max("at")).first()[0] or 0
+        parts = []
         for step, (low, high) in enumerate(zip([0, *edges], [*edges, last + 1])):
-            part = events.where((F.col("at") >= low) & (F.col("at") < high))
-            records(part).write.parquet(f"{self.root('raw')}/step={step}")
-        return last
+            some = events.where((F.col("at") >= low) & (F.col("at") < high))
+            parts.append(self.part("raw", step, lambda some=some: records(some)))
+        return parts, last
 
     def raw(self) -> DataFrame:
-        """The parts as a stream, in micro-batches of one file."""
-        reader = self.session.readStream.schema(RECORD).option("maxFilesPerTrigger", 1)
-        return reader.parquet(f"{self.root('raw')}/*")
+        """The parts as a stream."""
+        return self.session.readStream.schema(RECORD).parquet(f"{self.root('raw')}/*")
 
     def details(self) -> DataFrame:
         """``lineitem``, numbered as a table, as a stream of detail records."""
@@ -85,6 +102,28 @@ class Replay:
         sample.detail_records(lines).write.parquet(f"{self.root('details')}/part")
         return self.session.readStream.schema(RECORD).parquet(f"{self.root('details')}/*")
 
+    def timed_orders(self) -> tuple[DataFrame, DataFrame, list[Callable[[], None]]]:
+        """Orders and details as streams of records, and their ``ORDER_STEPS`` parts, cut at the same times.
+
+        So the watermark moves on with the parts, and the join keeps those rows alone that it still needs.
+        """
+        lines = stage(sample.numbered(table(self.spark, self.sf_dir, "lineitem")), "numbered")
+        sources = {"orders": (table(self.spark, self.sf_dir, "orders"), "o_orderdate"), "lines": (lines, "l_shipdate")}
+        at = {name: F.unix_millis(F.col(c).cast("timestamp")) for name, (_, c) in sources.items()}
+        times = [rows.select(at[name].alias("at")) for name, (rows, _) in sources.items()]
+        edges = times[0].unionByName(times[1]).approxQuantile("at", [i / ORDER_STEPS for i in range(1, ORDER_STEPS)], 0.01)
+
+        def add(step: int) -> None:
+            for name, (rows, _) in sources.items():
+                part = F.lit(0)
+                for edge in edges:
+                    part = part + F.coalesce((at[name] >= edge).cast("int"), F.lit(0))
+                rows.where(part == step).write.parquet(f"{self.root(name)}/step={step}")
+
+        streams = [self.session.readStream.schema(rows.schema).parquet(f"{self.root(name)}/*") for name, (rows, _) in sources.items()]
+        parts = [partial(add, step) for step in range(ORDER_STEPS)]
+        return sample.order_records(streams[0]), sample.detail_records(streams[1]), parts
+
     def visits(self) -> None:
         self.run("visits", jobs.start_unique_visits, self.stream("logs", Topic.PAGE))
 
@@ -115,7 +154,7 @@ def _split(arrived: dict[str, DataFrame]) -> DataFrame:
 def stream_dedup_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log job into topics that are only appended to, where every batch is sent twice; read exactly once."""
     replay = Replay(spark, sf_dir)
-    replay.steps(sample.damaged_log_records)
+    parts, _ = replay.steps(sample.damaged_log_records)
     root = replay.root("appended")
     append = files.appending_topic_sink(root, query="logs")
 
@@ -124,7 +163,9 @@ def stream_dedup_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         append(records, batch_id)
         append(records, batch_id)
 
-    jobs.start_logs(replay.raw(), twice, f"{replay.home}/check-logs", numbered=True).awaitTermination()
+    for add in parts:
+        add()
+        jobs.start_logs(replay.raw(), twice, f"{replay.home}/check-logs", numbered=True).awaitTermination()
     arrived = {}
     for topic in LOG_TOPICS:
         records = files.stream_once(replay.session, root, topic, delay="1 hour")
@@ -156,10 +197,10 @@ def stream_bounces_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_page_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both outputs of the pattern job: entry pages with their next page, and entry pages that timed out."""
     replay = Replay(spark, sf_dir)
-    replay.logs()
     pages = replay.stream("logs", Topic.PAGE)
     options = {"within_ms": SIX_HOURS_MS, "match_topic": MATCH, "timeout_topic": TIMEOUT}
-    replay.run("pattern", jobs.start_pattern, pages, is_entry(), deeper_page(), **options)
+    # after each part of the logs, so that the state holds the cells that are still open, not all of them
+    replay.logs(then=lambda: replay.run("pattern", jobs.start_pattern, pages, is_entry(), deeper_page(), **options))
     pair = F.from_json("value", "first string, next struct<id:bigint,ts:bigint>").alias("pair")
     pairs = replay.arrived("pattern", MATCH).select("id", pair)
     matched = _pages(pairs.select("id", F.col("pair.first").alias("value"))).join(pairs.select("id", "pair.next"), "id")
@@ -202,20 +243,23 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def pages(events: DataFrame) -> DataFrame:
         return sample.log_records(events.where(F.col("event_type") != "signup"))
 
-    last = replay.steps(lambda events: pages(events.where(~held_back)).coalesce(1))
+    parts, last = replay.steps(lambda events: pages(events.where(~held_back)))
     # the watermark of a batch is that of the rows before it, and rows are late by the one before that
     for step, closing in enumerate((0, 30, None, 60), STEPS):
-        days = (closing or 0) * DAY_MS
-        records = pages(table(spark, sf_dir, "events").where(held_back)) if closing is None else sample.closing_records(spark, last + days)
-        records.coalesce(1).write.parquet(f"{replay.root('raw')}/step={step}")
-    query = jobs.start_visitor_stats(
-        replay.raw(), replay.raw(), replay.raw(),
-        sink=files.table_sink(replay.root("sums")),
-        checkpoint=f"{replay.home}/check",
-        window="1 day",
-        late=files.topic_sink(replay.root("late")),
-    )
-    query.awaitTermination()
+        closes = partial(sample.closing_records, spark, last + (closing or 0) * DAY_MS)
+        late_pages = lambda: pages(table(spark, sf_dir, "events").where(held_back))
+        parts.append(replay.part("raw", step, late_pages if closing is None else closes))
+
+    def begin(raw: DataFrame, sink, checkpoint: str) -> StreamingQuery:
+        return jobs.start_visitor_stats(
+            raw, raw, raw,
+            sink=files.table_sink(replay.root("sums")),
+            checkpoint=checkpoint,
+            window="1 day",
+            late=sink,
+        )
+
+    replay.run("late", begin, replay.raw(), parts=parts)
     sums = files.read_table(spark, replay.root("sums"), f"stt string, {STATS}").select(F.lit("sum").alias("kind"), "stt", F.lit(None).cast("bigint").alias("ts"), *STATS_COLUMNS)
     late = replay.arrived("late", QUARANTINE_TOPIC).select(F.from_json("value", f"ts bigint, {STATS}").alias("row"))
     late = late.select(F.lit("late").alias("kind"), F.lit(None).cast("string").alias("stt"), "row.ts", *[f"row.{c}" for c in STATS_COLUMNS])
@@ -228,11 +272,13 @@ STATS = ", ".join(f"{c} {'bigint' if c.endswith(('_ct', '_sum')) else 'string'}"
 
 def stream_order_wide_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, sf_dir)
+    order_records, detail_records, parts = replay.timed_orders()
     replay.run(
         "wide",
         jobs.start_order_wide,
-        sample.order_records(stream_table(replay.session, sf_dir, "orders")),
-        replay.details(),
+        order_records,
+        detail_records,
+        parts=parts,
         users=sample.users(table(spark, sf_dir, "customer")),
         as_of=as_of(),
         lower_ms=-5 * DAY_MS,
@@ -256,11 +302,13 @@ def stream_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample.trademarks(table(spark, sf_dir, "supplier")),
         sample.categories3(nation),
     )
+    order_records, detail_records, parts = replay.timed_orders()
     replay.run(
         "wide",
         jobs.start_order_wide,
-        sample.order_records(stream_table(replay.session, sf_dir, "orders")),
-        replay.details(),
+        order_records,
+        detail_records,
+        parts=parts,
         users=sample.users(table(spark, sf_dir, "customer")),
         as_of=as_of(),
         lower_ms=-5 * DAY_MS,
@@ -340,14 +388,14 @@ def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # dealt without regard to order, so that older changes come after newer ones
     step = F.pmod(F.xxhash64("id"), F.lit(STEPS))
-    raw.withColumn("step", step).repartition(STEPS, "step").write.partitionBy("step").parquet(replay.root("raw"))
+    parts = [replay.part("raw", k, partial(raw.where, step == k)) for k in range(STEPS)]
     dimension = KeyedTable(replay.root("dimension"), DIM_ROWS, ["topic", "key"], ["id"])
 
     def begin(raw: DataFrame, sink, checkpoint: str) -> StreamingQuery:
         rules = sample.routing_rules(spark)
         return jobs.start_changes(raw, rules, sink, checkpoint, table_sinks={SinkType.HBASE: dimension.sink()})
 
-    replay.run("changes", begin, replay.raw())
+    replay.run("changes", begin, replay.raw(), parts=parts)
     gender = F.get_json_object("value", "$.gender").alias("gender")
     return dimension.read(spark).select(F.col("key").alias("user_id"), F.col("id").alias("change_id"), gender)
 
