@@ -88,7 +88,8 @@ class Replay:
         last = events.agg(F.max("at")).first()[0] or 0
         parts = []
         for step, (low, high) in enumerate(zip([0, *edges], [*edges, last + 1])):
-            some = events.where((F.col("at") >= low) & (F.col("at") < high))
+            # dealt anew, as a table in time order has each part in few of its blocks
+            some = events.where((F.col("at") >= low) & (F.col("at") < high)).repartition(self.spark.sparkContext.defaultParallelism)
             parts.append(self.part("raw", step, lambda some=some: records(some)))
         return parts, last
 
