@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -222,3 +223,38 @@ def test_copies_of_texts_of_short_lines(spark):
     assert out[2].text == "" and out[2].n_deleted == out[2].n_lines
     # blank lines around the copy belong to no block
     assert not out[6].text.strip() and out[6].n_deleted == out[2].n_deleted
+
+
+@pytest.mark.parametrize("letters", [2, 90, 256])
+@pytest.mark.parametrize("length", [3, 16, 50])
+def test_ranks_follow_the_bytes(letters, length):
+    rng = np.random.default_rng(letters + length)
+    data = rng.integers(256 - letters, 256, 4000).astype(np.uint8)
+    data[2000:] = data[:2000]
+    at = np.flatnonzero(rng.random(len(data) - length + 1) < 0.6)
+    parts = [data[i : i + length].tobytes() for i in at.tolist()]
+    number = {p: i for i, p in enumerate(sorted(set(parts)))}
+    assert suffix_dedup.suffix_ranks(data, at, length).tolist() == [number[p] for p in parts]
+
+
+def test_ranks_of_numbers_without_room_for_places():
+    values = np.array([1 << 63, 5, (1 << 64) - 1, 5, 1 << 63], np.uint64)
+    assert suffix_dedup._ranked(values).tolist() == [1, 0, 2, 0, 1]
+
+
+def test_prefixes_are_ranked_only_where_windows_need_them(monkeypatch):
+    seen = []
+    ranked = suffix_dedup._ranked
+    monkeypatch.setattr(suffix_dedup, "_ranked", lambda values: seen.append(len(values)) or ranked(values))
+    data = np.random.default_rng(3).integers(97, 123, 50 * 400).astype(np.uint8)
+    suffix_dedup.suffix_ranks(data, np.arange(0, len(data), 50), 50)
+    # single windows: one rank of 50 bytes, made of two, four and eight shorter ones; all 50 suffixes took 200
+    assert sum(seen) <= 16 * 400
+
+
+@pytest.mark.parametrize("table", ["documents", "odd_documents"])
+def test_arrays_end_with_a_key(request, monkeypatch, table):
+    monkeypatch.setattr(suffix_dedup, "_ARRAY_BYTES", 1)
+    docs = request.getfixturevalue(table)
+    out = suffix_dedup.remove_repeats(docs, 30, 10).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    assert without_null((*r[:4], bytes(r[4])) for r in out.collect()) == removed_bytes(texts_of(docs), 30)

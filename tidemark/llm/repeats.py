@@ -24,18 +24,19 @@ POSITION_BITS = 40
 TAG_MASK = (1 << 22) - 1
 
 
-def anchors(hashes: np.ndarray, doc: np.ndarray, length: int, width: int) -> np.ndarray:
+def anchors(hashes: np.ndarray, doc: np.ndarray, length: int, width: int, least: np.ndarray | None = None) -> np.ndarray:
     """Positions of sampled windows of ``width`` symbols, by content alone.
 
     Each window of ``length`` symbols inside a document holds at least one of them, the one of the
     smallest hash (all of them where equal ones repeat), so windows of equal content have equal anchors.
-    ``hashes`` are those of the windows of ``width``, ``doc`` is the document of each symbol.
+    ``hashes`` are those of the windows of ``width``, ``doc`` is the document of each symbol, ``least`` the smallest hash
+    in each window of ``length`` where that is known.
     """
     n = len(doc) - length + 1
     if n <= 0:
         return np.zeros(0, np.int64)
     span = length - width + 1
-    least = np.where(doc[:n] == doc[length - 1 :], sliding(hashes, span), np.uint64(0))
+    least = np.where(doc[:n] == doc[length - 1 :], sliding(hashes, span) if least is None else least, np.uint64(0))
     edge = np.zeros(span - 1, np.uint64)
     most = sliding(np.concatenate([edge, least, edge]), span, np.maximum)
     return np.flatnonzero((most == hashes) & (most != 0))

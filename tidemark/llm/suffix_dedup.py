@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ GROUP_SHARE = 1e-4
 
 _CONTENT_BITS = 40
 _ALONE, _MANY, _NOTE, _DECIDED = 0, 1, 2, 3
-# Bytes in one suffix array.
-_ARRAY_BYTES = 1 << 20
+# Bytes in one suffix array: its numbers stay in the processor's cache.
+_ARRAY_BYTES = 1 << 16
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -48,10 +49,14 @@ def _from_planes(raw: bytes, n: int) -> np.ndarray:
 def _pack(rows: dict[str, np.ndarray]) -> bytes:
     """Rows sorted by ``h``, as byte planes of differences and of indexes into the documents of the rows."""
     n = len(rows["h"])
-    doc = np.stack([rows["doc_id"], rows["tag"]], 1)
-    known, at = np.unique(doc, axis=0, return_inverse=True)
-    parts = [np.diff(rows["h"], prepend=np.uint64(0)), rows["c"], at.ravel(), rows["position"], rows["size"], rows["flag"]]
-    ids = [np.diff(known[:, 0], prepend=0), known[:, 1] >> POSITION_BITS]
+    order = np.lexsort((rows["tag"], rows["doc_id"]))
+    doc_id, tag = rows["doc_id"][order], rows["tag"][order]
+    new = np.append(True, (doc_id[1:] != doc_id[:-1]) | (tag[1:] != tag[:-1]))[:n]
+    at = np.empty(n, np.int64)
+    at[order] = np.cumsum(new) - 1
+    known = doc_id[new]
+    parts = [np.diff(rows["h"], prepend=np.uint64(0)), rows["c"], at, rows["position"], rows["size"], rows["flag"]]
+    ids = [np.diff(known, prepend=0), tag[new] >> POSITION_BITS]
     raw = b"".join(map(_planes, parts)) + b"".join(_planes(x.astype(np.int64).view(np.uint64)) for x in ids)
     return np.array([n, len(known)], "<i8").tobytes() + zstandard.ZstdCompressor(level=1).compress(raw)
 
@@ -73,17 +78,22 @@ def _strings(block, rolling: Rolling, length: int, width: int) -> dict[str, np.n
     doc = np.repeat(np.arange(block.size), np.diff(offsets))
     sums = rolling.sums(data)
     hashes = rolling.windows(sums, width)
-    at = anchors(hashes, doc, length, width)
+    least = sliding(hashes, length - width + 1)
+    at = anchors(hashes, doc, length, width, least)
     n = max(0, len(doc) - length + 1)
     window = np.flatnonzero(doc[:n] == doc[length - 1 :]) if n else np.zeros(0, np.int64)
     if not len(window):
         return {}
-    least = sliding(hashes, length - width + 1)[window]
-    own = np.searchsorted(at, window)
-    wrong = np.flatnonzero(hashes[at[own]] != least)
+    least = least[window]
+    # the first anchor at or behind a window, then the next ones
+    before = np.zeros(len(doc) + 1, np.int64)
+    before[at + 1] = 1
+    own = np.cumsum(before, out=before)[window]
+    anchor = hashes[at]
+    wrong = np.flatnonzero(anchor[own] != least)
     while len(wrong):
         own[wrong] += 1
-        wrong = wrong[hashes[at[own[wrong]]] != least[wrong]]
+        wrong = wrong[anchor[own[wrong]] != least[wrong]]
     new = np.ones(len(window), bool)
     new[1:] = (own[1:] != own[:-1]) | (window[1:] != window[:-1] + 1)
     first = np.flatnonzero(new)
@@ -92,7 +102,7 @@ def _strings(block, rolling: Rolling, length: int, width: int) -> dict[str, np.n
     content = rolling.hashes(sums, start, start + size + length - 1) >> np.uint64(64 - _CONTENT_BITS)
     owner = doc[start]
     return {
-        "h": hashes[at[own[first]]], "c": content, "position": start - offsets[owner], "size": size, "start": start,
+        "h": anchor[own[first]], "c": content, "position": start - offsets[owner], "size": size, "start": start,
         "doc_id": block.column("doc_id").to_numpy(zero_copy_only=False)[owner],
         "tag": tags(block.column("text_hash").to_numpy(zero_copy_only=False))[owner],
     }
@@ -181,51 +191,73 @@ def _screen(docs: DataFrame, length: int, width: int) -> DataFrame:
     return sent.mapInArrow(decide, "doc_id long, place long, size int, key long")
 
 
-def suffix_ranks(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of all suffixes of strings by their first ``length`` bytes, by prefix doubling.
-
-    ``ends`` is the end of the string of each byte; a suffix that ends early ranks before its extensions.
+def _ranked(values: np.ndarray) -> np.ndarray:
+    """Ranks of numbers, from 0; equal numbers share one."""
+    bits = max(len(values) - 1, 0).bit_length()
+    if int(values.max()).bit_length() + bits > 64:
+        return np.unique(values, return_inverse=True)[1].astype(np.uint64)
+    # numbers with their places in the low bits: a plain sort takes less than half the time of an indirect one
+    both = (values << np.uint64(bits)) | np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    place = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    both >>= np.uint64(bits)
+    new = np.zeros(len(both), np.uint64)
+    new[1:] = both[1:] != both[:-1]
+    out = np.empty(len(both), np.uint64)
+    out[place] = np.cumsum(new)
+    return out
+
+
+def suffix_ranks(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes at the ascending places ``at`` by their first ``length`` bytes, by prefix doubling.
+
+    All of them have as many bytes. Shorter prefixes are ranked only where a longer one is made of them, so the
+    bytes behind the first ``length`` of a string add little.
     """
-    here = np.arange(len(data))
-    # the first seven bytes are ranked at once, nine bits each, 0 behind the end
-    have = min(7, length)
-    codes = data.astype(np.int64) + 1
-    rank = np.zeros(len(data), np.int64)
-    for step in range(have):
-        rank = (rank << 9) | np.where(here + step < ends, np.append(codes[step:], codes[:step]), 0)
-    rank = np.unique(rank, return_inverse=True)[1] + 1
-    while have < length:
-        step = min(have, length - have)
-        after = np.where(here + step < ends, np.append(rank[step:], np.zeros(step, np.int64)), 0)
-        rank = np.unique((rank << 32) | after, return_inverse=True)[1] + 1
-        have += step
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    known = np.zeros(256, bool)
+    known[data] = True
+    codes = (np.cumsum(known) - 1).astype(np.uint64)[data]
+    base, bits = max(int(known.sum()), 2), len(data).bit_length()
+    # as many bytes at once as leave room for a place
+    have = 1
+    while have < length and (base ** (have + 1) - 1).bit_length() + bits <= 64:
+        have += 1
+    steps, long = [], have
+    while long < length:
+        steps.append(min(long, length - long))
+        long += steps[-1]
+    needed = np.zeros(len(data), bool)
+    needed[at] = True
+    places = [at]
+    for step in reversed(steps):
+        needed[step:] |= needed[:-step].copy()
+        places.append(np.flatnonzero(needed))
+    here = places.pop()
+    number = codes[here]
+    for step in range(1, have):
+        number = number * np.uint64(base) + codes[here + step]
+    rank = _ranked(number)
+    whole = np.empty(len(data), np.uint64)
+    for step in steps:
+        whole[here] = rank
+        here = places.pop()
+        rank = _ranked(whole[here] * (rank.max() + np.uint64(1)) + whole[here + step])
     return rank
 
 
 def earlier_match(ranks: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Which windows have their longest previous factor in a smaller document at full length.
 
-    In suffix order the longest match with a smaller document is the one with the nearest position on
-    either side that belongs to a smaller document. The match has the full length when that position
-    shares the rank, hence lies within the run of equal ranks.
+    In suffix order the longest match with a smaller document is at a nearest position that belongs to
+    one. The match has the full length when that position shares the rank, so the smallest
+    document of each rank tells.
     """
-    order = np.argsort(ranks, kind="stable")
-    rank, doc = ranks[order], docs[order]
-    at = np.arange(len(order))
-    new = np.append(True, rank[1:] != rank[:-1])[: len(order)]
-    run = np.cumsum(new) - 1
-    out = np.zeros(len(order), bool)
-    for side in (slice(None), slice(None, None, -1)):
-        # a running minimum that starts anew with each run: later runs get smaller numbers
-        level = run[side] if side.step is None else run[-1:].repeat(len(run)) - run[side] if len(run) else run
-        known, number = np.unique(doc[side], return_inverse=True)
-        scaled = number - level * (len(known) + 1)
-        before = np.concatenate([[len(known)], np.minimum.accumulate(scaled)[:-1]]) if len(at) else scaled
-        nearest_smaller = (before < scaled) & (before >= -level * (len(known) + 1))
-        out[side] |= nearest_smaller
-    found = np.zeros(len(order), bool)
-    found[order] = out
-    return found
+    least = np.full(int(ranks.max()) + 1 if len(ranks) else 0, np.iinfo(np.int64).max)
+    run = ranks.astype(np.int64)
+    np.minimum.at(least, run, docs)
+    return docs > least[run]
 
 
 _STRINGS = "key long, doc_id long, place long, text binary"
@@ -271,46 +303,52 @@ def _texts_of(docs: DataFrame, rows: DataFrame, hot: set[int], length: int) -> D
 def _previous_factors(strings: DataFrame, length: int) -> DataFrame:
     """Runs of windows with an earlier match, by suffix arrays over the strings of many keys each."""
 
-    def solve(key, doc_id, place, texts):
-        size = np.array([len(t) for t in texts], np.int64)
-        stop = np.cumsum(size)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        string = np.repeat(np.arange(len(texts)), size)
-        ranks = suffix_ranks(data, stop[string], length)
-        here = np.arange(len(data))
-        full = np.flatnonzero(here + length <= stop[string])
+    def batch_of(ids, place, count):
+        columns = [pa.array(ids, pa.int64()), pa.array(place, pa.int64()), pa.array(count.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "size"])
+
+    def solve(held):
+        whole = pa.Table.from_batches(held).combine_chunks()
+        doc_id, place = (whole.column(i).to_numpy() for i in (1, 2))
+        texts = pa.concat_arrays(whole.column(3).cast(pa.large_binary()).chunks)
+        _, ends, values = texts.buffers()
+        edges = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(values, np.uint8)[edges[0] : edges[-1]]
+        edges = edges - edges[0]
+        size = np.diff(edges)
+        string = np.repeat(np.arange(len(size)), size)
+        full = np.flatnonzero(np.arange(len(data)) + length <= edges[1:][string])
         # equal windows under different keys cannot be: the anchor is part of the window
         found = np.zeros(len(data), bool)
-        found[full] = earlier_match(ranks[full], doc_id[string[full]])
+        found[full] = earlier_match(suffix_ranks(data, full, length), doc_id[string[full]])
         begin, count = spans_of(found, string)
         own = string[begin]
-        return doc_id[own], place[own] + begin - (stop - size)[own], count
-
-    def batch_of(ids, place, count):
-        columns = [pa.array(ids, pa.int64()), pa.array(place, pa.int64()), pa.array(count.astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "size"])
+        return batch_of(doc_id[own], place[own] + begin - edges[own], count)
 
     def run(batches):
         held, total = [], 0
         for batch in batches:
-            texts = batch.column(3)
-            decided = texts.is_null().to_numpy(zero_copy_only=False)
-            key, ids, place = (batch.column(i).to_numpy() for i in range(3))
-            if decided.any():
-                yield batch_of(ids[decided], place[decided], np.ones(int(decided.sum()), np.int64))
-            for i in np.flatnonzero(~decided).tolist():
+            decided = batch.column(3).is_null()
+            done = batch.filter(decided)
+            if done.num_rows:
+                yield batch_of(done.column(1), done.column(2), np.ones(done.num_rows, np.int64))
+                batch = batch.filter(pc.invert(decided))
+            if not batch.num_rows:
+                continue
+            total += batch.column(3).nbytes
+            if total >= _ARRAY_BYTES:
                 # an array ends with the last string of a key
-                if total >= _ARRAY_BYTES and key[i] != held[-1][0]:
-                    yield batch_of(*solve_held(held))
-                    held, total = [], 0
-                held.append((key[i], ids[i], place[i], texts[i].as_py()))
-                total += len(held[-1][3])
+                key = batch.column(0).to_numpy()
+                last = int(np.searchsorted(key, key[-1]))
+                if last:
+                    held.append(batch.slice(0, last))
+                    batch = batch.slice(last)
+                if held and held[-1].column(0)[-1].as_py() != key[-1]:
+                    yield solve(held)
+                    held, total = [], batch.column(3).nbytes
+            held.append(batch)
         if held:
-            yield batch_of(*solve_held(held))
-
-    def solve_held(held):
-        key, ids, place, texts = zip(*held)
-        return solve(np.array(key), np.array(ids), np.array(place), texts)
+            yield solve(held)
 
     parts = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = strings.repartition(parts, "key").sortWithinPartitions("key")
