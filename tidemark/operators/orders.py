@@ -117,12 +117,11 @@ def interval_join(
     Tables are joined by a shuffle: the optimizer's estimate of parsed records is far below their size, and
     by it all orders would be sent through the driver.
     """
-    cell = max(2 * (upper_ms - lower_ms), 1000)
+    return joined_sides(*timed_sides(orders, details, watermark), lower_ms, upper_ms)
 
-    def cell_of(ts: Column) -> Column:
-        # Cells start at half seconds, so short intervals around whole seconds are in one.
-        shifted = ts + cell // 2
-        return shifted - F.pmod(shifted, F.lit(cell))
+
+def timed_sides(orders: DataFrame, details: DataFrame, watermark: str = WATERMARK) -> tuple[DataFrame, DataFrame]:
+    """The orders as ``o_*`` and the details as ``d_*`` that an interval join takes, with their times ``et``; streams with a watermark."""
 
     def prefixed(df: DataFrame, prefix: str) -> DataFrame:
         timed = df.filter(F.col("create_ts").isNotNull()).withColumn(
@@ -133,12 +132,23 @@ def interval_join(
         return timed.select(*[F.col(c).alias(f"{prefix}{c}") for c in timed.columns])
 
     left = prefixed(orders.filter(F.col("id").isNotNull()), "o_")
+    return left, prefixed(details.filter(F.col("order_id").isNotNull()), "d_")
+
+
+def joined_sides(left: DataFrame, right: DataFrame, lower_ms: int, upper_ms: int) -> DataFrame:
+    """The pairs of :func:`interval_join` of two sides, which may have columns of their own besides."""
+    cell = max(2 * (upper_ms - lower_ms), 1000)
+
+    def cell_of(ts: Column) -> Column:
+        # Cells start at half seconds, so short intervals around whole seconds are in one.
+        shifted = ts + cell // 2
+        return shifted - F.pmod(shifted, F.lit(cell))
+
     first = cell_of(F.col("o_create_ts") + lower_ms)
     last = cell_of(F.col("o_create_ts") + upper_ms)
     left = left.withColumn("o_cell", F.explode(F.sequence(first, last, F.lit(cell).cast("bigint"))))
-    right = prefixed(details.filter(F.col("order_id").isNotNull()), "d_")
     right = right.withColumn("d_cell", cell_of(F.col("d_create_ts")))
-    if not (orders.isStreaming or details.isStreaming):
+    if not (left.isStreaming or right.isStreaming):
         left = left.hint("merge")
 
     return left.join(

@@ -53,6 +53,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder of the shared folder, so that its files appear in another at once; false when there is none."""
+    jvm = spark.sparkContext._jvm
+    one, two = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    system = one.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(one):
+        return False
+    system.mkdirs(two.getParent())
+    if not system.rename(one, two):
+        raise OSError(f"cannot move {source} to {target}")
+    return True
+
+
 def release(spark: SparkSession) -> None:
     """Delete all tables staged by this process, when the results built on them are written.
 

@@ -20,7 +20,7 @@ from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
-from tidemark.sources.staging import new_path, stage
+from tidemark.sources.staging import move, new_path
 from tidemark.sources.upserts import KeyedTable
 from tidemark.streaming import jobs
 from tidemark.streaming.session import streaming_session
@@ -108,18 +108,20 @@ class Replay:
 
         So the watermark moves on with the parts, and the join keeps those rows alone that it still needs.
         """
-        lines = stage(sample.numbered(table(self.spark, self.sf_dir, "lineitem")), "numbered")
+        lines = table(self.spark, self.sf_dir, "lineitem")
         sources = {"orders": (table(self.spark, self.sf_dir, "orders"), "o_orderdate"), "lines": (lines, "l_shipdate")}
         at = {name: F.unix_millis(F.col(c).cast("timestamp")) for name, (_, c) in sources.items()}
         times = [rows.select(at[name].alias("at")) for name, (rows, _) in sources.items()]
         edges = times[0].unionByName(times[1]).approxQuantile("at", [i / ORDER_STEPS for i in range(1, ORDER_STEPS)], 0.01)
+        sources["lines"] = (sample.numbered(lines), "l_shipdate")
+        for name, (rows, _) in sources.items():
+            step = reduce(lambda part, edge: part + F.coalesce((at[name] >= edge).cast("int"), F.lit(0)), edges, F.lit(0))
+            # all parts at once: cut one by one the table would be read once for each
+            rows.withColumn("step", step).write.partitionBy("step").parquet(self.root(f"{name}-parts"))
 
         def add(step: int) -> None:
-            for name, (rows, _) in sources.items():
-                part = F.lit(0)
-                for edge in edges:
-                    part = part + F.coalesce((at[name] >= edge).cast("int"), F.lit(0))
-                rows.where(part == step).write.parquet(f"{self.root(name)}/step={step}")
+            for name in sources:
+                move(self.spark, f"{self.root(f'{name}-parts')}/step={step}", f"{self.root(name)}/step={step}")
 
         streams = [self.session.readStream.schema(rows.schema).parquet(f"{self.root(name)}/*") for name, (rows, _) in sources.items()]
         parts = [partial(add, step) for step in range(ORDER_STEPS)]

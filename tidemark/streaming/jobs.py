@@ -20,6 +20,7 @@ from tidemark.operators.visitors import NEW, apply_first_days
 from tidemark.plans import jobs
 from tidemark.schemas import SinkType, Topic
 from tidemark.streaming.late import beside, in_time, late_records, late_watermark
+from tidemark.streaming.open_rows import OpenRows
 from tidemark.streaming.visits import TTL_MS, opened, with_openings
 
 Sink = Callable[[DataFrame, int], None]
@@ -258,24 +259,25 @@ def start_order_wide(
     ``plans.jobs.order_wide_dims``. Records that cannot be read or have no time are left out here; run
     :func:`start_quarantine` over the same topics to keep them.
     """
-    pairs = orders.interval_join(
-        orders.parse_orders(order_records),
-        orders.parse_details(detail_records),
-        lower_ms,
-        upper_ms,
-        watermark,
-    )
+    left, right = orders.timed_sides(orders.parse_orders(order_records), orders.parse_details(detail_records), watermark)
+    both = left.withColumn("left", F.lit(True)).unionByName(right.withColumn("left", F.lit(False)), allowMissingColumns=True)
+    open_rows = OpenRows(f"{checkpoint.rstrip('/')}/open-rows", ("o_create_ts", "d_create_ts"), lower_ms, upper_ms)
 
-    def batch(wide: DataFrame, batch_id: int) -> None:
-        wide = wide.persist()  # a large dimension makes the join count the rows first
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark, late_ms = rows.sparkSession, late_watermark(rows.sparkSession, checkpoint, batch_id)
+        sides = open_rows.meet(rows, batch_id, late_ms)
+        own = [side.select(*[c for c in side.columns if c.startswith(p)], F.col("_fresh").alias(f"{p}fresh")) for side, p in zip(sides, ("o_", "d_"))]
+        pairs = orders.joined_sides(*own, lower_ms, upper_ms).where("o_fresh or d_fresh")
+        wide = orders.order_wide(pairs).persist()  # a large dimension makes the join count the rows first
         try:
             filled = orders.with_user(wide, users, as_of, rows_per_task=ROWS_PER_TASK)
             filled = more(filled) if more else filled
             to_topic(sink, Topic.ORDER_WIDE)(orders.order_wide_values(filled), batch_id)
         finally:
             wide.unpersist()
+        open_rows.vacuum(spark, rows.schema, batch_id, late_ms)
 
-    return start(orders.order_wide(pairs), batch, checkpoint, **options)
+    return start(both, batch, checkpoint, **options)
 
 
 def start_quarantine(
