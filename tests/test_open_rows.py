@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import orders
+from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import RECORD, Topic
 from tidemark.sources import files
 from tidemark.streaming import jobs
@@ -82,3 +84,17 @@ def test_orders_wait_for_details_without_a_state_store(spark, tmp_path):
     rows = [json.loads(r.value) for r in files.read_topic(spark, f"{tmp_path}/wide", Topic.ORDER_WIDE).collect()]
     # detail 12 is a second too late for its order
     assert sorted((r["order_id"], r["detail_id"]) for r in rows) == [(1, 11), (3, 10), (3, 13), (4, 14)]
+
+
+def test_wide_rows_take_sku_details_made_before(spark, rows):
+    """The same rows as from the tables, which are then not read."""
+    wide = rows([(1, 7, 3), (2, 8, None), (3, None, 3)], "detail_id bigint, sku_id bigint, province_id bigint")
+    empty = {c: F.lit(None).cast("string") for c in ("province_name", "province_area_code", "province_iso_code", "province_3166_2_code", "spu_name", "tm_name", "category3_name")}
+    wide = wide.withColumns(empty | {c: F.lit(None).cast("bigint") for c in ("spu_id", "tm_id", "category3_id")})
+    provinces = rows([("3", "n", "0", "a", "b")], "id string, name string, area_code string, iso_code string, iso_3166_2 string")
+    skus = rows([(7, 1, 2, 3), (9, 1, 2, 3)], "id bigint, spu_id bigint, tm_id bigint, category3_id bigint")
+    tables = skus, rows([(1, "s")], "id bigint, spu_name string"), rows([(2, "t")], "id bigint, tm_name string"), rows([(3, "c")], "id bigint, name string")
+    details = orders.sku_details(*tables, unique=True)
+    want = rows(order_wide_dims(wide, provinces, *tables, unique=True))
+    assert rows(order_wide_dims(wide, provinces, None, None, None, None, unique=True, details=details)) == want
+    assert ["s", "t", "c"] == list(order_wide_dims(wide, provinces, None, None, None, None, details=details).where("detail_id = 1").select("spu_name", "tm_name", "category3_name").first())

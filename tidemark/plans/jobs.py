@@ -78,14 +78,17 @@ def order_wide_dims(
     categories3: DataFrame | Dimension,
     unique: bool = False,
     rows_per_task: int | None = None,
+    details: DataFrame | None = None,
 ) -> DataFrame:
     """Fill the remaining dimension columns of wide rows by two lookups.
 
     Spu, trademark and category hang on the sku and are joined to it first, so the wide rows
-    themselves are shuffled twice at most. ``unique`` says that no dimension has a key twice.
+    themselves are shuffled twice at most. ``unique`` says that no dimension has a key twice. A stream whose dimensions
+    do not change gives their ``details``, :func:`tidemark.operators.orders.sku_details` of the same tables, made once.
     """
     located = orders.with_province(wide, provinces, unique, rows_per_task)
-    details = orders.sku_details(skus, spus, trademarks, categories3, unique)
+    if details is None:
+        details = orders.sku_details(skus, spus, trademarks, categories3, unique)
     return orders.with_sku_details(located, details, unique, rows_per_task)
 
 

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.catalog import DAY_MS, SIX_HOURS_MS, Query, as_of, deeper_page, in_utc
+from tidemark.operators.orders import sku_details
 from tidemark.operators.pattern import MATCH, TIMEOUT
 from tidemark.operators.visitors import is_entry
 from tidemark.plans.jobs import order_wide_dims
 from tidemark.schemas import QUARANTINE_TOPIC, RECORD, SinkType, Topic
 from tidemark.sources import files, sample_tables as sample
 from tidemark.sources.sample_tables import table
-from tidemark.sources.staging import move, new_path
+from tidemark.sources.staging import move, new_path, stage
 from tidemark.sources.upserts import KeyedTable
 from tidemark.streaming import jobs
 from tidemark.streaming.session import streaming_session
@@ -305,6 +306,8 @@ def stream_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample.trademarks(table(spark, sf_dir, "supplier")),
         sample.categories3(nation),
     )
+    # the tables stay as they are, so the skus get their names once and not in each micro-batch
+    details = stage(sku_details(*tables[1:], unique=True), "sku-details")
     order_records, detail_records, parts = replay.timed_orders()
     replay.run(
         "wide",
@@ -316,7 +319,7 @@ def stream_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_of=as_of(),
         lower_ms=-5 * DAY_MS,
         upper_ms=5 * DAY_MS,
-        more=lambda wide: order_wide_dims(wide, *tables, unique=True),
+        more=lambda wide: order_wide_dims(wide, *tables, unique=True, details=details),
     )
     names = ("province_name", "spu_name", "tm_name", "category3_name")
     schema = "detail_id bigint, order_id bigint, user_age int, " + ", ".join(f"{n} string" for n in names)
